@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from gavelframe.llm import kneser_ney, langid, mixing, url_filter
+from gavelframe.llm import kneser_ney, langid, licenses, mixing, url_filter, winnowing
 
-_MODULES = (langid, url_filter, kneser_ney, mixing)
+_MODULES = (langid, winnowing, url_filter, licenses, kneser_ney, mixing)
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 SQL = {name: sql for m in _MODULES for name, sql in m.SQL.items()}
