@@ -15,8 +15,8 @@ def components(links: DataFrame) -> DataFrame:
     links, aggregates before it shuffles and writes a checkpoint to the shared folder; no link reaches the driver.
     """
     shared_root(links.sparkSession)
-    e = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct().checkpoint()
-    last = None
+    given = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct().checkpoint()
+    e, last = given, None
     while True:
         both = e.where("u <> v").select("u", "v").union(e.where("u <> v").select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -28,5 +28,5 @@ def components(links: DataFrame) -> DataFrame:
         if state == last:
             break
         last = state
-    own = links.select("a").union(links.select("b")).distinct().withColumnRenamed("a", "node")
+    own = given.select(F.col("u").alias("node")).union(given.select("v")).distinct()
     return own.join(e.withColumnRenamed("u", "node").withColumnRenamed("v", "root"), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
