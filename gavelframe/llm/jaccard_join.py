@@ -24,9 +24,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gavelframe.llm._components import components
 from gavelframe.llm._store import Folder, lookup, runs, shard_bits, shard_of, shared_root
@@ -349,6 +351,58 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     return rows.join(least, "_r", "left").select("doc_id", "n_shingles", F.coalesce("_least", "doc_id").alias("component_id"), "set_id")
 
 
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: Threshold = Threshold()) -> DataFrame:
+    """The rows without all but one of each component: that of the smallest id stays; null ids are the largest. Empty sets stay.
+
+    Only ids and set hashes are shuffled: the rows pass once more, and those whose (id, set) is in the stored list go.
+    """
+    spark = docs.sparkSession
+    shared_root(spark)
+    last = F.lit(2**63 - 1)
+    ids = F.coalesce(F.col(doc_id).cast("long"), last)
+    found = jaccard_components(docs.select(ids.alias("doc_id"), F.col(text).alias("text")), threshold=threshold).where("set_id IS NOT NULL")
+    sets = found.groupBy("component_id", "doc_id", "set_id").agg(F.count("*").alias("n")).checkpoint()
+    stays = sets.where("doc_id = component_id").groupBy("component_id").agg(F.min("set_id").alias("best"))
+    judged = sets.join(stays, "component_id").select("doc_id", "set_id", ((F.col("doc_id") == F.col("component_id")) & (F.col("set_id") == F.col("best"))).alias("stays"), "n").where("NOT stays OR n > 1")
+    folder, bits = Folder(spark, "keep-one"), shard_bits(spark)
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            key = _row_key(b["doc_id"].to_numpy(), b["set_id"].to_numpy().view(U64))
+            order = np.argsort(key)
+            yield from _blobs(bits, key[order], {"key": (key[order], 8), "twice": (b["stays"].to_numpy(zero_copy_only=False)[order].astype(U64), 1)})
+
+    def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard, (key, twice) in _by_shard(batches, {"key": 8, "twice": 1}):
+            order = np.argsort(key)
+            folder.save(f"gone-{shard}", key[order][twice[order] == 0])
+            folder.save(f"twice-{shard}", key[order][twice[order] == 1])
+            yield pa.RecordBatch.from_pydict({"n": pa.array([int(twice.sum())], pa.int64())})
+
+    repeated = _dealt(judged.mapInArrow(keyed, "shard int, key binary, twice binary")).mapInArrow(save, "n long").agg(F.sum("n")).first()[0]
+    schema = T.StructType([*docs.schema.fields, T.StructField("__key", T.LongType())])
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in pieces(batches, text):
+            sets_ = set_ids(*shingles(*words(b[text]), threshold.k))
+            id_ = pc.fill_null(b[doc_id].cast(pa.int64()), 2**63 - 1).to_numpy()
+            key, back = np.unique(_row_key(id_, sets_), return_inverse=True)
+            gone, _ = lookup(folder, bits, key, (), "gone")
+            twice, _ = lookup(folder, bits, key, (), "twice")
+            stays_ = ~gone[back] | (sets_ == 0)
+            out = pa.RecordBatch.from_arrays([*b.columns, pa.array(key[back].view(np.int64), mask=~twice[back])], names=schema.names)
+            yield out.filter(pa.array(stays_))
+
+    kept = docs.mapInArrow(keep, schema)
+    if not repeated:
+        return kept.drop("__key")
+    return kept.where("__key IS NULL").unionByName(kept.where("__key IS NOT NULL").dropDuplicates(["__key"])).drop("__key")
+
+
+def _row_key(ids: np.ndarray, sets: np.ndarray) -> np.ndarray:
+    return mix(mix(ids.view(U64)) + sets)
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return jaccard_components(docs, threshold=Threshold(90, 100, 3)).drop("set_id")

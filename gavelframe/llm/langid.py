@@ -95,16 +95,16 @@ def fit_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id
     return out
 
 
-def predict(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text", length: int = 500) -> DataFrame:
-    """The rows with lang_pred and score: one less the best profile's share of the greatest possible distance."""
+def predict(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text", length: int = 500, names_out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The rows with lang_pred and score, or names_out: one less the best profile's share of the greatest possible distance."""
     names = sorted(profiles)
     rank = np.full((len(names), SPACE_SIZE), -1, np.int32)
     for i, n in enumerate(names):
         rank[i, profiles[n]] = np.arange(len(profiles[n]))
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    kept = [c for c in docs.columns if c not in names_out]
     docs = docs.select(*kept)
     table = docs.sparkSession.sparkContext.broadcast(rank)  # 0.45 MB a language
-    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(names_out[0], T.StringType()), T.StructField(names_out[1], T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = table.value
@@ -121,7 +121,7 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text",
                 best = int(far.argmin())
                 pred.append(names[best])
                 score.append(1.0 - float(far[best]) / (length * len(top)))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=[*b.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=[*b.schema.names, *names_out])
 
     return docs.mapInArrow(run, schema)
 

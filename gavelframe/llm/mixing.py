@@ -167,16 +167,14 @@ def draw(sized: DataFrame, drawn: DataFrame) -> DataFrame:
     return took.where("room IS NULL").unionByName(_fits(took)).drop("room")
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0, shards: int = 16, seed: int = 7) -> DataFrame:
-    """The mixture: the rows of docs, each as often as it is taken, with the columns _copy and _shard, in hashed order within a shard."""
+def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0, shards: int = 16, seed: int = 7, places: bool = True) -> DataFrame:
+    """The mixture: the rows of docs, each as often as it is taken, in hashed order within a shard; with places, also _copy and _shard."""
     shared_root(docs.sparkSession)
-    cols = docs.columns
-    all_ = docs.withColumn("_row", F.struct(*[F.col(c) for c in cols]))
     key = F.col(doc_id).cast("string")
-    wide = all_.select("_row", F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), n_words(F.col(text)).alias("size"), _in(F.lit("block"), key).alias("block"), _in(F.lit("sub"), key).alias("sub"), F.xxhash64(F.lit("order"), key).alias("u"))
+    wide = docs.select(F.struct(*docs.columns).alias("_row"), F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), n_words(F.col(text)).alias("size"), _in(F.lit("block"), key).alias("block"), _in(F.lit("sub"), key).alias("sub"), F.xxhash64(F.lit("order"), key).alias("u"))
     drawn, _ = plan(sizes(docs, doc_id, text, source).checkpoint(), weights, most, shards, seed)
     took = draw(wide, drawn)
-    return took.repartition(F.col("shard"), F.pmod(F.col("u"), F.lit(64))).sortWithinPartitions("shard", F.xxhash64("u", "copy", F.lit(seed))).select("_row.*", F.col("copy").alias("_copy"), F.col("shard").alias("_shard"))
+    return took.repartition(F.col("shard"), F.pmod(F.col("u"), F.lit(64))).sortWithinPartitions("shard", F.xxhash64("u", "copy", F.lit(seed))).select("_row.*", *[F.col("copy").alias("_copy"), F.col("shard").alias("_shard")][: 2 * places])
 
 
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

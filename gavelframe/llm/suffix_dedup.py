@@ -387,18 +387,18 @@ def removed_spans(c: Contexts, copies: np.ndarray, folder: Folder, bits: int, le
     return gone
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", length: int = 200, as_text: bool = False, digest_only: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, text: str = "text", length: int = 200, as_text: bool = False, digest_only: bool = False, tag: str = "") -> DataFrame:
     """The rows with n_bytes, n_removed, n_spans, kept_sha256 and, unless digest_only, the kept bytes in place of the text.
 
-    as_text: keep valid UTF-8, for which the characters that are removed in part go too.
+    as_text: keep valid UTF-8, for which the characters that are removed in part go too. tag: put before the new columns' names.
+    docs must give the same rows in the same partitions each time, as a stored table does.
     """
     spark = docs.sparkSession
     shared_root(spark)
     folder, bits = Folder(spark, "suffixes"), shard_bits(spark)
-    docs = docs.withColumn("_row", F.monotonically_increasing_id())
-    build(docs, text, length, folder, bits)
-    new = {"n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(), "kept_sha256": T.StringType()}
-    docs = docs.drop("_row", *new)
+    build(docs.select(F.col(text).alias("_text"), F.monotonically_increasing_id().alias("_row")), "_text", length, folder, bits)
+    new = {f"{tag}n_bytes": T.LongType(), f"{tag}n_removed": T.LongType(), f"{tag}n_spans": T.LongType(), f"{tag}kept_sha256": T.StringType()}
+    docs = docs.drop(*new)
     kind = T.StringType() if as_text else T.BinaryType()
     kept_fields = [f if f.name != text else T.StructField(text, kind) for f in docs.schema.fields if f.name != text or not digest_only]
     schema = T.StructType([*kept_fields, *[T.StructField(n, t) for n, t in new.items()]])
