@@ -9,7 +9,7 @@ Signatures of fewer than MIN_ELEMENTS elements would join unrelated sets. There
 most e parts have such signatures leaves them out and loses no pair; a set with more of them sends them all.
 
 Sets with a signature in common are compared exactly, one bucket at a time: members that are already connected are not compared
-again, and what is sent on is a spanning forest, not all pairs. Every pair of linked sets ends in one component, whatever the
+again, large buckets of sets that stay apart are signed anew, and what is sent on is a spanning forest, not all pairs. Every pair of linked sets ends in one component, whatever the
 bucket's size. Equal sets count once. Buckets, sets and links stay in tasks and in the shared folder.
 
 Null and empty texts and texts without words have an empty set and link with nothing; a null id is its own component (null).
@@ -36,6 +36,7 @@ from gavelframe.llm._text import U64, from_planes, low_planes, mix, pieces, shin
 
 MIN_ELEMENTS = 2
 FLUSH = 2_000_000  # signatures that a map task holds before it sends them
+SIGN_ANEW = 64  # a bucket with more members that stay apart is signed anew
 
 
 @dataclass(frozen=True)
@@ -71,13 +72,14 @@ def set_ids(h: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.where(n > 0, mix(sums[off[1:]] - sums[off[:-1]] + n) | U64(1), U64(0))
 
 
-def signatures(h: np.ndarray, off: np.ndarray, t: Threshold) -> tuple[np.ndarray, np.ndarray]:
-    """(signatures, the set that each belongs to)."""
+def signatures(h: np.ndarray, off: np.ndarray, t: Threshold, size: np.ndarray | None = None, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(signatures, the set that each belongs to). size: of the whole sets, if h leaves elements out of them (of all sets alike)."""
     starts, (k2, n2) = t.bands(), t.pieces()
-    size = np.diff(off)
+    held = np.diff(off)
+    size = held if size is None else size
     band = np.searchsorted(starts, size, "right") - 1
-    owner = np.repeat(np.arange(len(size)), size)
-    bits = mix(h ^ U64(0x14057B7EF767814F))
+    owner = np.repeat(np.arange(len(size)), held)
+    bits = mix(h ^ U64(0x14057B7EF767814F + seed))
     out_sig, out_set = [], []
     for up in (0, 1):
         instance = band + up
@@ -97,7 +99,8 @@ def signatures(h: np.ndarray, off: np.ndarray, t: Threshold) -> tuple[np.ndarray
         order = np.argsort(cell, kind="stable")
         at = runs(cell[order])[:-1]
         total = np.zeros(cells, U64)
-        total[cell[order][at]] = np.add.reduceat(h[el][order], at)
+        if len(at):
+            total[cell[order][at]] = np.add.reduceat(h[el][order], at)
         count = np.bincount(cell, minlength=cells)
         total, count = total.reshape(-1, n2), count.reshape(-1, n2)
         of = np.repeat(np.arange(len(size)), parts)
@@ -272,27 +275,86 @@ class _Linked:
         self.up[max(a, b)] = min(a, b)
 
 
-def _compare(members: np.ndarray, sets: dict[int, np.ndarray], linked: _Linked, failed: set[tuple[int, int]], t: Threshold) -> None:
-    """Connects all members that links connect: whoever is not connected with a member yet is compared with it, exactly."""
-    left = [int(m) for m in members]
+def _flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate(sets), np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+
+
+def _linked_to(own: np.ndarray, sets: list[np.ndarray], t: Threshold) -> np.ndarray:
+    """Which of the sets reach the threshold with this one, exactly; the first quarter of a set's elements rejects most."""
+    size = np.array([len(x) for x in sets])
+    need = -(-t.num * (size + len(own)) // (t.num + t.den))
+    ok = need <= np.minimum(size, len(own))
+
+    def shared(xs: list[np.ndarray]) -> np.ndarray:
+        all_, off = _flat(xs)
+        at = np.minimum(np.searchsorted(own, all_), len(own) - 1)
+        return np.add.reduceat((own[at] == all_).astype(np.int64), off[:-1])
+
+    part = np.flatnonzero(ok & (size >= 32))
+    if len(part):
+        first = [sets[i][: len(sets[i]) // 4] for i in part]
+        missed = np.array([len(x) for x in first]) - shared(first)
+        ok[part] = missed <= size[part] - need[part]
+    rest = np.flatnonzero(ok)
+    if len(rest):
+        ok[rest] = shared([sets[i] for i in rest]) >= need[rest]
+    return ok
+
+
+def _compare(members: list[int], sets: dict[int, np.ndarray], linked: _Linked, t: Threshold) -> None:
+    """Connects all members that links connect: each in turn is compared with those that it is not connected with yet.
+
+    Many members that stay apart, as of a bucket that stands for a common passage, are signed anew by another seed and without the
+    elements that most of them have. That leaves no two sets further apart, so linked ones share a signature again; if this leaves
+    fewer pairs, only these are compared.
+    """
+    left = members
     while len(left) > 1:
         roots = [linked.root(m) for m in left]
         if len(set(roots)) == 1:
             return
-        pivot, mine = left[0], roots[0]
-        own = sets[pivot]
-        others = [m for m, r in zip(left[1:], roots[1:], strict=True) if r != mine and (pivot, m) not in failed and t.num * max(len(own), len(sets[m])) <= t.den * min(len(own), len(sets[m]))]
-        if others:
-            size = np.array([len(sets[m]) for m in others])
-            all_ = np.concatenate([sets[m] for m in others])
-            at = np.minimum(np.searchsorted(own, all_), len(own) - 1)
-            shared = np.add.reduceat((own[at] == all_).astype(np.int64), np.concatenate([[0], np.cumsum(size)[:-1]]))
-            for m, ok in zip(others, (t.num + t.den) * shared >= t.num * (size + len(own)), strict=True):
-                if ok:
-                    linked.join(pivot, m)
-                else:
-                    failed.add((pivot, m))
+        _compare_one(left[0], [m for m, r in zip(left[1:], roots[1:], strict=True) if r != roots[0]], sets, linked, t)
         left = left[1:]
+        if left is not members and len(left) == len(members) - 1 and len(left) > SIGN_ANEW:
+            pairs = _closer(left, sets, t)
+            if pairs is not None:
+                cut = runs(pairs[:, 0])
+                for i, j in zip(cut[:-1], cut[1:], strict=True):
+                    one = left[pairs[i, 0]]
+                    mine = linked.root(one)
+                    _compare_one(one, [left[k] for k in pairs[i:j, 1] if linked.root(left[k]) != mine], sets, linked, t)
+                return
+
+
+def _compare_one(one: int, others: list[int], sets: dict[int, np.ndarray], linked: _Linked, t: Threshold) -> None:
+    if others:
+        for m, ok in zip(others, _linked_to(sets[one], [sets[m] for m in others], t), strict=True):
+            if ok:
+                linked.join(one, m)
+
+
+def _closer(members: list[int], sets: dict[int, np.ndarray], t: Threshold) -> np.ndarray | None:
+    """Pairs (sorted) of places of members that share a signature without the elements that most members have; None if too many."""
+    h, off = _flat([sets[m] for m in members])
+    element, times = np.unique(h, return_counts=True)
+    common = element[2 * times > len(members)]
+    keep = np.ones(len(h), bool)
+    if len(common):
+        keep = common[np.minimum(np.searchsorted(common, h), len(common) - 1)] != h
+    sig, own = signatures(h[keep], np.concatenate([[0], np.cumsum(keep)])[off], t, np.diff(off), 1)
+    order = np.lexsort((own, sig))
+    sig, own = sig[order], own[order]
+    at = runs(sig)
+    size = np.diff(at)
+    many = np.flatnonzero(size > 1)
+    if not len(many):
+        return np.zeros((0, 2), np.int64)
+    many = many[np.unique(np.add.reduceat(mix(own.astype(U64) + U64(1)), at[:-1])[many], return_index=True)[1]]
+    if (size[many] * (size[many] - 1)).sum() > len(members) * (len(members) - 1) // 2:
+        return None
+    codes = [np.add.outer(o * len(members), o)[np.triu_indices(len(o), 1)] for o in (own[at[i] : at[i + 1]] for i in many)]
+    code = np.unique(np.concatenate(codes))
+    return np.stack([code // len(members), code % len(members)], axis=1)
 
 
 def _links(spark: SparkSession, t: Threshold, folder: Folder, bits: int) -> DataFrame:
@@ -303,7 +365,7 @@ def _links(spark: SparkSession, t: Threshold, folder: Folder, bits: int) -> Data
                 if size is None:
                     continue
                 at = np.concatenate([[0], np.cumsum(size.astype(np.int64))])
-                linked, failed = _Linked(), set()
+                linked = _Linked()
                 order = np.argsort(-size.astype(np.int64), kind="stable")
                 sets: dict[int, np.ndarray] = {}
                 held = 0
@@ -319,9 +381,7 @@ def _links(spark: SparkSession, t: Threshold, folder: Folder, bits: int) -> Data
                         for m, p, c, n in zip(need.tolist(), place, count, number, strict=True):
                             sets[m] = np.asarray(folder.load(f"segment-{n}")[p : p + c])
                             held += int(c)
-                    _compare(members, sets, linked, failed, t)
-                    if len(failed) > 1_000_000:
-                        failed = set()
+                    _compare(members.tolist(), sets, linked, t)
                 pairs = [(linked.root(x), x) for x in list(linked.up)]
                 a, b_ = (np.array([p[i] for p in pairs if p[0] != p[1]], U64).view(np.int64) for i in (0, 1))
                 yield pa.RecordBatch.from_pydict({"a": a, "b": b_})
