@@ -11,6 +11,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import urlparse
 
 import numpy as np
@@ -104,6 +106,18 @@ class Folder:
         return _OPEN[key]
 
 
+@contextmanager
+def shuffles_end(spark: SparkSession) -> Iterator[None]:
+    """Plans made in here drop their shuffle files when their action ends; else these stay until the driver collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def shard_of(keys: np.ndarray, bits: int) -> np.ndarray:
     """Shards are ranges of the key's top bits: sorted keys have sorted shards."""
     return (keys >> np.uint64(64 - bits)).astype(np.int32) if bits else np.zeros(len(keys), np.int32)

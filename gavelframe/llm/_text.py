@@ -28,7 +28,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most max_bytes of text each, or one row."""
     for b in batches:
         if not b.num_rows:

@@ -31,11 +31,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gavelframe.llm._components import components
-from gavelframe.llm._store import Folder, lookup, runs, shard_bits, shard_of, shared_root
+from gavelframe.llm._store import Folder, lookup, runs, shard_bits, shard_of, shared_root, shuffles_end
 from gavelframe.llm._text import U64, from_planes, low_planes, mix, pieces, shingles, words
 
 MIN_ELEMENTS = 2
-FLUSH = 2_000_000  # signatures that a map task holds before it sends them
+FLUSH = 1_000_000  # signatures that a map task holds before it sends them
 SIGN_ANEW = 64  # a bucket with more members that stay apart is signed anew
 
 
@@ -85,7 +85,7 @@ def signatures(h: np.ndarray, off: np.ndarray, t: Threshold, size: np.ndarray |
         instance = band + up
         differ = t.differ(starts[instance + 1] - 1)
         base = differ // (k2 + 1) + 1
-        spare = 1 + base // 8
+        spare = 1 + base // 16
         parts = np.where((size > 0) & (differ > 0), base + spare, 0)
         first = np.concatenate([[0], np.cumsum(parts)])
         cells = int(first[-1]) * n2
@@ -161,7 +161,7 @@ def _buckets(docs: DataFrame, text: str, t: Threshold, folder: Folder, bits: int
             sig, ids = sig[order], ids[order]
             new = np.ones(len(sig), bool)
             new[1:] = (sig[1:] != sig[:-1]) | (ids[1:] != ids[:-1])
-            yield from _blobs(bits, sig[new], {"sig": (sig[new], 5), "id": (ids[new], 8)})
+            yield from _blobs(bits, sig[new], {"sig": (sig[new] << U64(bits) >> U64(32), 4), "id": (ids[new], 8)})
 
         for b in pieces(batches, text):
             h, off = shingles(*words(b[text]), t.k)
@@ -182,7 +182,7 @@ def _buckets(docs: DataFrame, text: str, t: Threshold, folder: Folder, bits: int
             yield from flush()
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, (sig, ids) in _by_shard(batches, {"sig": 5, "id": 8}):
+        for _, (sig, ids) in _by_shard(batches, {"sig": 4, "id": 8}):
             order = np.lexsort((ids, sig))
             sig, ids = sig[order], ids[order]
             new = np.ones(len(sig), bool)
@@ -401,8 +401,9 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
             ids = set_ids(h, off)
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(np.diff(off)), pa.array(ids.view(np.int64), mask=ids == 0)], names=["doc_id", "n_shingles", "set_id"])
 
-    _buckets(docs, text, threshold, folder, bits)
-    _sets(docs, text, threshold, folder, bits)
+    with shuffles_end(spark):
+        _buckets(docs, text, threshold, folder, bits)
+        _sets(docs, text, threshold, folder, bits)
     roots = components(_links(spark, threshold, folder, bits)).checkpoint()
     folder.remove()
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(facts, "doc_id long, n_shingles long, set_id long")

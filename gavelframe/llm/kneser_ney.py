@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gavelframe.llm._text import U64, from_planes, low_planes, mix, pieces, words
-from gavelframe.llm._store import Folder, lookup, runs, shard_bits, shard_of
+from gavelframe.llm._store import Folder, lookup, runs, shard_bits, shard_of, shuffles_end
 
 WIDTH = 5  # bytes of a token's hash
 BEGIN, END = U64(1), U64(2)
-FLUSH = 3_000_000  # tokens that a map task holds before it counts and sends them
+FLUSH = 2_000_000  # tokens that a map task holds before it counts and sends them
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -202,7 +202,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     schema = T.StructType([*docs.schema.fields, *[T.StructField(n, t) for n, t in new.items()]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(batches, text, 4 << 20):
+        for b in pieces(batches, text, 2 << 20):
             p, base, known, off = log_probs(model, b[text])
             add = lambda x: np.add.reduceat(x, off[:-1])  # noqa: E731  every text has an end
             n, s = np.diff(off), add(p)
@@ -217,7 +217,9 @@ def held_out(doc_id: Column) -> Column:
 
 def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    return score(docs, fit(docs.where("NOT held_out"))).drop("text")
+    with shuffles_end(spark):
+        model = fit(docs.where("NOT held_out"))
+    return score(docs, model).drop("text")
 
 
 QUERIES = {"op9_kneser_ney": op9_kneser_ney}

@@ -213,6 +213,7 @@ class Bpe:
         space = buf == 32
         begin = space.copy()
         begin[1:] &= ~space[:-1]
+        begin[3:] &= ~((buf[:-3] == 0xE2) & (buf[1:-2] == 0x96) & (buf[2:-1] == 0x81))  # a U+2581 of the text's own is as a space
         begin[off[:-1][full]] = True
         start = np.flatnonzero(begin)
         stop = np.append(start[1:], len(buf))
@@ -297,7 +298,7 @@ def encode(docs: DataFrame, text: str = "text", model: str = MODEL, digest: bool
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _model(key, proto.value)
-        for b in pieces(batches, text, 4 << 20):
+        for b in pieces(batches, text, 2 << 20):
             ids, off = bpe.encode(b[text])
             null = b[text].is_null().to_numpy(zero_copy_only=False)
             out = [*[b[f.name] for f in kept], pa.array(np.diff(off), mask=null)]

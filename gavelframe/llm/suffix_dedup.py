@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gavelframe.llm._store import Folder, lookup, runs, shard_bits, shard_of, shared_root
+from gavelframe.llm._store import Folder, lookup, runs, shard_bits, shard_of, shared_root, shuffles_end
 from gavelframe.llm._text import BASE, U64, flat, from_planes, low_planes, mix, pieces, powers, prefix, span_hash
 
 GRAM = 32
@@ -396,7 +396,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = 200, as_te
     spark = docs.sparkSession
     shared_root(spark)
     folder, bits = Folder(spark, "suffixes"), shard_bits(spark)
-    build(docs.select(F.col(text).alias("_text"), F.monotonically_increasing_id().alias("_row")), "_text", length, folder, bits)
+    with shuffles_end(spark):
+        build(docs.select(F.col(text).alias("_text"), F.monotonically_increasing_id().alias("_row")), "_text", length, folder, bits)
     new = {f"{tag}n_bytes": T.LongType(), f"{tag}n_removed": T.LongType(), f"{tag}n_spans": T.LongType(), f"{tag}kept_sha256": T.StringType()}
     docs = docs.drop(*new)
     kind = T.StringType() if as_text else T.BinaryType()
