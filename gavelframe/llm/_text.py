@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import platform
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +17,7 @@ _POW = np.ones(1, U64)
 _INV = np.ones(1, U64)
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
+_LIBC = ctypes.CDLL("libc.so.6") if sys.platform == "linux" and platform.libc_ver()[0] == "glibc" else None
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -40,6 +44,13 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 1 <<
             j = max(i + 1, int(np.searchsorted(end, (end[i - 1] if i else 0) + max_bytes, "right")))
             yield b.slice(i, j - i)
             i = j
+    _give_back()
+
+
+def _give_back() -> None:
+    """Returns what the allocator keeps of freed arrays, as a worker lives on after its task."""
+    if _LIBC:
+        _LIBC.malloc_trim(0)
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -36,7 +36,10 @@ from gavelframe.llm._text import U64, from_planes, low_planes, mix, pieces, shin
 
 MIN_ELEMENTS = 2
 FLUSH = 1_000_000  # signatures that a map task holds before it sends them
-SIGN_ANEW = 64  # a bucket with more members that stay apart is signed anew
+SIGN_ANEW = 4096  # a bucket with more members that stay apart is signed anew
+BIN_BITS = 8
+BINS = 1 << BIN_BITS
+ELEMENTS_HELD = 4_000_000  # of sets that a verifying task holds before it starts anew
 
 
 @dataclass(frozen=True)
@@ -257,85 +260,92 @@ def _sets(docs: DataFrame, text: str, t: Threshold, folder: Folder, bits: int) -
     _dealt(docs.select(text).mapInArrow(write, "shard int, id binary, place binary, count binary, segment binary")).mapInArrow(index, "n long").agg(F.sum("n")).first()
 
 
-class _Linked:
-    """Union-find over ids; the smallest id of a group is its root."""
+class _Sets:
+    """The sets of a task's buckets, with a histogram of each over BINS ranges of the hash, and the smallest place that links reach."""
 
     def __init__(self):
-        self.up: dict[int, int] = {}
-
-    def root(self, x: int) -> int:
-        up = self.up
-        while (y := up.get(x, x)) != x:
-            up[x] = up.get(y, y)
-            x = y
-        return x
-
-    def join(self, a: int, b: int) -> None:
-        a, b = self.root(a), self.root(b)
-        self.up[max(a, b)] = min(a, b)
+        self.place: dict[int, int] = {}
+        self.ids: list[int] = []
+        self.sets: list[np.ndarray] = []
+        self.size = np.zeros(0, np.int64)
+        self.bins = np.zeros((0, BINS), np.uint16)
+        self.root = np.zeros(0, np.int64)
+
+    def add(self, ids: list[int], sets: list[np.ndarray]) -> None:
+        first = len(self.ids)
+        self.place |= {m: first + i for i, m in enumerate(ids)}
+        self.ids += ids
+        self.sets += sets
+        self.size = np.append(self.size, [len(x) for x in sets])
+        self.root = np.append(self.root, np.arange(first, len(self.ids)))
+        at = np.concatenate([np.full(len(x), i * BINS) for i, x in enumerate(sets)]) + (np.concatenate(sets) >> U64(64 - BIN_BITS)).astype(np.int64)
+        bins = np.bincount(at, minlength=len(sets) * BINS).reshape(-1, BINS)
+        self.bins = np.concatenate([self.bins, np.minimum(bins, 65535).astype(np.uint16)])
+
+    def drop(self) -> None:
+        """Forgets the sets but not what links them."""
+        self.sets = [None] * len(self.ids)
 
 
 def _flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(sets), np.concatenate([[0], np.cumsum([len(x) for x in sets])])
 
 
-def _linked_to(own: np.ndarray, sets: list[np.ndarray], t: Threshold) -> np.ndarray:
-    """Which of the sets reach the threshold with this one, exactly; the first quarter of a set's elements rejects most."""
-    size = np.array([len(x) for x in sets])
-    need = -(-t.num * (size + len(own)) // (t.num + t.den))
-    ok = need <= np.minimum(size, len(own))
-
-    def shared(xs: list[np.ndarray]) -> np.ndarray:
-        all_, off = _flat(xs)
+def _linked_to(one: int, others: np.ndarray, s: _Sets, t: Threshold) -> np.ndarray:
+    """Which of the sets reach the threshold with this one. Two sets share at most the sum over the bins of the smaller count; those
+    that may share enough are compared exactly."""
+    size = s.size[others]
+    need = -(-t.num * (size + s.size[one]) // (t.num + t.den))
+    others = others[need <= np.minimum(size, s.size[one])]
+    need = -(-t.num * (s.size[others] + s.size[one]) // (t.num + t.den))
+    most = np.concatenate([np.minimum(s.bins[one], s.bins[others[i : i + 4096]]).sum(axis=1, dtype=np.int64) for i in range(0, len(others), 4096)]) if len(others) else np.zeros(0, np.int64)
+    may = np.flatnonzero((most >= need) | (s.size[others] > 65535))
+    others, need = others[may], need[may]
+    out = []
+    for i in range(0, len(others), 256):
+        part = others[i : i + 256]
+        all_, off = _flat([s.sets[m] for m in part])
+        own = s.sets[one]
         at = np.minimum(np.searchsorted(own, all_), len(own) - 1)
-        return np.add.reduceat((own[at] == all_).astype(np.int64), off[:-1])
+        out.append(part[np.add.reduceat((own[at] == all_).astype(np.int64), off[:-1]) >= need[i : i + 256]])
+    return np.concatenate(out) if out else others
 
-    part = np.flatnonzero(ok & (size >= 32))
-    if len(part):
-        first = [sets[i][: len(sets[i]) // 4] for i in part]
-        missed = np.array([len(x) for x in first]) - shared(first)
-        ok[part] = missed <= size[part] - need[part]
-    rest = np.flatnonzero(ok)
-    if len(rest):
-        ok[rest] = shared([sets[i] for i in rest]) >= need[rest]
-    return ok
 
+def _compare(members: np.ndarray, s: _Sets, t: Threshold) -> None:
+    """Connects all members (places in s) that links connect: each in turn is compared with those that it is not connected with yet.
 
-def _compare(members: list[int], sets: dict[int, np.ndarray], linked: _Linked, t: Threshold) -> None:
-    """Connects all members that links connect: each in turn is compared with those that it is not connected with yet.
-
-    Many members that stay apart, as of a bucket that stands for a common passage, are signed anew by another seed and without the
+    Very many members that stay apart, as of a bucket that stands for a common passage, are signed anew by another seed and without the
     elements that most of them have. That leaves no two sets further apart, so linked ones share a signature again; if this leaves
     fewer pairs, only these are compared.
     """
-    left = members
-    while len(left) > 1:
-        roots = [linked.root(m) for m in left]
-        if len(set(roots)) == 1:
-            return
-        _compare_one(left[0], [m for m, r in zip(left[1:], roots[1:], strict=True) if r != roots[0]], sets, linked, t)
-        left = left[1:]
-        if left is not members and len(left) == len(members) - 1 and len(left) > SIGN_ANEW:
-            pairs = _closer(left, sets, t)
+    for i in range(len(members) - 1):
+        roots = s.root[members[i:]]
+        if (roots == roots[0]).all():
+            if i == 0 or (s.root[members] == roots[0]).all():
+                return
+            continue
+        _compare_one(members[i], members[i + 1 :][roots[1:] != roots[0]], s, t)
+        if i == 0 and len(members) > SIGN_ANEW:
+            left = members[1:]
+            pairs = _closer(left, s, t)
             if pairs is not None:
                 cut = runs(pairs[:, 0])
-                for i, j in zip(cut[:-1], cut[1:], strict=True):
-                    one = left[pairs[i, 0]]
-                    mine = linked.root(one)
-                    _compare_one(one, [left[k] for k in pairs[i:j, 1] if linked.root(left[k]) != mine], sets, linked, t)
+                for a, b in zip(cut[:-1], cut[1:], strict=True):
+                    one, others = left[pairs[a, 0]], left[pairs[a:b, 1]]
+                    _compare_one(one, others[s.root[others] != s.root[one]], s, t)
                 return
 
 
-def _compare_one(one: int, others: list[int], sets: dict[int, np.ndarray], linked: _Linked, t: Threshold) -> None:
-    if others:
-        for m, ok in zip(others, _linked_to(sets[one], [sets[m] for m in others], t), strict=True):
-            if ok:
-                linked.join(one, m)
+def _compare_one(one: int, others: np.ndarray, s: _Sets, t: Threshold) -> None:
+    for m in _linked_to(one, others, s, t) if len(others) else others:
+        a, b = s.root[one], s.root[m]
+        if a != b:
+            s.root[s.root == max(a, b)] = min(a, b)
 
 
-def _closer(members: list[int], sets: dict[int, np.ndarray], t: Threshold) -> np.ndarray | None:
+def _closer(members: np.ndarray, s: _Sets, t: Threshold) -> np.ndarray | None:
     """Pairs (sorted) of places of members that share a signature without the elements that most members have; None if too many."""
-    h, off = _flat([sets[m] for m in members])
+    h, off = _flat([s.sets[m] for m in members])
     element, times = np.unique(h, return_counts=True)
     common = element[2 * times > len(members)]
     keep = np.ones(len(h), bool)
@@ -365,25 +375,29 @@ def _links(spark: SparkSession, t: Threshold, folder: Folder, bits: int) -> Data
                 if size is None:
                     continue
                 at = np.concatenate([[0], np.cumsum(size.astype(np.int64))])
-                linked = _Linked()
-                order = np.argsort(-size.astype(np.int64), kind="stable")
-                sets: dict[int, np.ndarray] = {}
-                held = 0
-                for i in order:
-                    members = np.asarray(member[at[i] : at[i + 1]])
-                    need = np.array([m for m in members.tolist() if m not in sets], U64)
-                    if len(need):
-                        if held > 4_000_000:  # elements
-                            sets, held, need = {}, 0, members
-                        need = np.sort(need)
+                held, elements = _Sets(), 0
+                for i in np.argsort(-size.astype(np.int64), kind="stable"):
+                    ids = member[at[i] : at[i + 1]].tolist()
+                    need = [m for m in ids if m not in held.place or held.sets[held.place[m]] is None]
+                    if need and elements > ELEMENTS_HELD:
+                        held.drop()
+                        elements, need = 0, ids
+                    if need:
+                        need = np.sort(np.array(need, U64))
                         found, (place, count, number) = lookup(folder, bits, need, ("place", "count", "number"))
                         assert found.all()
-                        for m, p, c, n in zip(need.tolist(), place, count, number, strict=True):
-                            sets[m] = np.asarray(folder.load(f"segment-{n}")[p : p + c])
-                            held += int(c)
-                    _compare(members.tolist(), sets, linked, t)
-                pairs = [(linked.root(x), x) for x in list(linked.up)]
-                a, b_ = (np.array([p[i] for p in pairs if p[0] != p[1]], U64).view(np.int64) for i in (0, 1))
+                        sets = [np.asarray(folder.load(f"segment-{n}")[p : p + c]) for p, c, n in zip(place, count, number, strict=True)]
+                        elements += int(count.sum())
+                        new = [j for j, m in enumerate(need.tolist()) if m not in held.place]
+                        for j, m in enumerate(need.tolist()):
+                            if m in held.place:
+                                held.sets[held.place[m]] = sets[j]
+                        if new:
+                            held.add([int(need[j]) for j in new], [sets[j] for j in new])
+                    _compare(np.array([held.place[m] for m in ids]), held, t)
+                ids = np.array(held.ids, U64)
+                some = np.flatnonzero(held.root != np.arange(len(ids)))
+                a, b_ = ids[held.root[some]].view(np.int64), ids[some].view(np.int64)
                 yield pa.RecordBatch.from_pydict({"a": a, "b": b_})
 
     return _tasks(spark, bits).mapInArrow(verify, "a long, b long")

@@ -30,7 +30,7 @@ from gavelframe.llm._text import U64, flat, pieces, prefix, span_hash
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-KEPT_UNITS = 3_000_000  # units whose tokens a worker keeps
+KEPT_UNITS = 700_000  # units whose tokens a worker keeps
 AT_ONCE = 1 << 20  # bytes of units matched at once
 
 
