@@ -22,8 +22,16 @@ from pyspark.sql import SparkSession
 _OPEN: dict[str, np.ndarray] = {}
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Fewer rows an Arrow batch: whole texts are long, and a batch of the default 10,000 stands in memory several times."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def shared_root(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; only where none is set, as in tests, a folder of our own."""
+    small_batches(spark)
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:

@@ -32,7 +32,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most max_bytes of text each, or one row."""
     for b in batches:
         if not b.num_rows:
@@ -44,10 +44,10 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 1 <<
             j = max(i + 1, int(np.searchsorted(end, (end[i - 1] if i else 0) + max_bytes, "right")))
             yield b.slice(i, j - i)
             i = j
-    _give_back()
+    give_back()
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """Returns what the allocator keeps of freed arrays, as a worker lives on after its task."""
     if _LIBC:
         _LIBC.malloc_trim(0)

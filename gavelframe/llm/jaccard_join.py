@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from gavelframe.llm._components import components
 from gavelframe.llm._store import Folder, lookup, runs, shard_bits, shard_of, shared_root, shuffles_end
-from gavelframe.llm._text import U64, from_planes, low_planes, mix, pieces, shingles, words
+from gavelframe.llm._text import U64, from_planes, give_back, low_planes, mix, pieces, shingles, words
 
 MIN_ELEMENTS = 2
 FLUSH = 1_000_000  # signatures that a map task holds before it sends them
@@ -141,6 +141,7 @@ def _by_shard(batches: Iterator[pa.RecordBatch], columns: dict[str, int]) -> Ite
                 x.append(from_planes(b[n][i].as_py(), w))
     if shard is not None:
         yield shard, [np.concatenate(x) for x in held]
+    give_back()
 
 
 def _dealt(df: DataFrame) -> DataFrame:

@@ -202,7 +202,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     schema = T.StructType([*docs.schema.fields, *[T.StructField(n, t) for n, t in new.items()]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(batches, text, 2 << 20):
+        for b in pieces(batches, text, 1 << 20):
             p, base, known, off = log_probs(model, b[text])
             add = lambda x: np.add.reduceat(x, off[:-1])  # noqa: E731  every text has an end
             n, s = np.diff(off), add(p)

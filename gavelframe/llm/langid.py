@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gavelframe.llm._store import small_batches
 from gavelframe.llm._text import codepoints, pieces
 
 CLASSES = 48
@@ -97,6 +98,7 @@ def fit_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id
 
 def predict(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text", length: int = 500, names_out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """The rows with lang_pred and score, or names_out: one less the best profile's share of the greatest possible distance."""
+    small_batches(docs.sparkSession)
     names = sorted(profiles)
     rank = np.full((len(names), SPACE_SIZE), -1, np.int32)
     for i, n in enumerate(names):

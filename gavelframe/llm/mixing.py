@@ -128,8 +128,8 @@ def plan(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = 3
                 for r in last.groupBy("source").agg(F.sum("size").alias("n")).collect():
                     rest[r["source"]] -= r["n"]
             undrawn = sized.join(ranks, F.col("source").eqNullSafe(F.col("_s")) & (F.col("block") == F.col("_b"))).drop("_s", "_b")
-        room = F.broadcast(spark.createDataFrame([(s, whole[s], float(rest[s])) for s in names], "_s string, _whole int, _room double"))
-        free = undrawn.join(room, F.col("source").eqNullSafe(F.col("_s"))).where("_rank > _whole AND size > 0 AND size <= _room")
+        room = F.broadcast(spark.createDataFrame([(s, whole[s], edge[s][1] if isinstance(edge.get(s), tuple) else BLOCKS, float(rest[s])) for s in names], "_s string, _whole int, _sub int, _room double"))
+        free = undrawn.join(room, F.col("source").eqNullSafe(F.col("_s"))).where("(_rank > _whole OR _rank = _whole AND sub > _sub) AND size > 0 AND size <= _room")
         used = [r[6] for r in rows if r[6] is not None]
         if used:
             free = free.where(~F.col("u").isin(used))

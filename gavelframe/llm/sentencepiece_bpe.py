@@ -26,12 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from gavelframe.llm._store import small_batches
 from gavelframe.llm._text import U64, flat, pieces, prefix, span_hash
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 KEPT_UNITS = 700_000  # units whose tokens a worker keeps
-AT_ONCE = 1 << 20  # bytes of units matched at once
+AT_ONCE = 1 << 18  # bytes of units matched at once
 
 
 @dataclass
@@ -282,6 +283,7 @@ def _model(key: str, proto: bytes) -> Bpe:
 
 def _proto(docs: DataFrame, model: str):
     """The model file's bytes as a broadcast (half a MB; the file's size is fixed)."""
+    small_batches(docs.sparkSession)
     with open(model, "rb") as f:
         data = f.read()
     return hashlib.sha256(data).hexdigest(), docs.sparkSession.sparkContext.broadcast(data)
@@ -298,7 +300,7 @@ def encode(docs: DataFrame, text: str = "text", model: str = MODEL, digest: bool
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _model(key, proto.value)
-        for b in pieces(batches, text, 2 << 20):
+        for b in pieces(batches, text, 1 << 20):
             ids, off = bpe.encode(b[text])
             null = b[text].is_null().to_numpy(zero_copy_only=False)
             out = [*[b[f.name] for f in kept], pa.array(np.diff(off), mask=null)]

@@ -32,13 +32,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gavelframe.llm._store import Folder, lookup, runs, shard_bits, shard_of, shared_root, shuffles_end
-from gavelframe.llm._text import BASE, U64, flat, from_planes, low_planes, mix, pieces, powers, prefix, span_hash
+from gavelframe.llm._text import BASE, U64, flat, from_planes, give_back, low_planes, mix, pieces, powers, prefix, span_hash
 
 GRAM = 32
 BATCHES = 4
-WINDOWS_HELD = 200_000
+WINDOWS_HELD = 100_000
 FLUSH = 400_000  # anchors that a map task holds before it sends them
-FLUSH_BYTES = 16 << 20  # bytes of contexts likewise
+FLUSH_BYTES = 8 << 20  # bytes of contexts likewise
 
 
 class Contexts:
@@ -117,6 +117,7 @@ def _grouped(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Itera
                 x.append(b[n][i].as_py())
     if shard is not None:
         yield shard, held
+    give_back()
 
 
 def _ints(blobs: list[bytes]) -> np.ndarray:
