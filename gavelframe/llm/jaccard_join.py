@@ -208,6 +208,7 @@ def _buckets(docs: DataFrame, text: str, t: Threshold, folder: Folder, bits: int
                 yield pa.RecordBatch.from_pydict({"shard": pa.array([s], pa.int32()), "name": pa.array([low_planes(name[shard == s], 8)]), "size": pa.array([low_planes(size[m], 8)]), "member": pa.array([low_planes(member, 8)])})
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = []
         for shard, (name, size, member) in _by_shard(batches, {"name": 8, "size": 8, "member": 8}):
             size = size.astype(np.int64)
             at = np.concatenate([[0], np.cumsum(size)])
@@ -215,7 +216,9 @@ def _buckets(docs: DataFrame, text: str, t: Threshold, folder: Folder, bits: int
             member = np.concatenate([member[at[i] : at[i + 1]] for i in pick])
             folder.save(f"size-{shard}", size[pick])
             folder.save(f"member-{shard}", member)
-            ids = np.unique(member)
+            seen.append(np.unique(member))
+        if seen:  # a row a shard of the whole task, not of each of its shards
+            ids = np.unique(np.concatenate(seen))
             yield from _blobs(bits, ids, {"id": (ids, 8)})
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
