@@ -13,6 +13,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from itertools import islice
 from urllib.parse import urlparse
 
 import numpy as np
@@ -95,8 +96,8 @@ class Folder:
         """The array, mapped into memory; None if there is none."""
         key = f"{self.uri}/{name}"
         if key not in _OPEN:
-            if len(_OPEN) > 20_000:
-                _OPEN.clear()
+            if len(_OPEN) > 20_000 or not all(k.startswith(self.uri) for k in islice(_OPEN, 1)):
+                _OPEN.clear()  # files of a folder that is done with would stay on disk
             try:
                 if self.path:
                     a = np.load(f"{self.path}/{name}.npy", mmap_mode="r")

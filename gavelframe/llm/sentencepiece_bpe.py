@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from gavelframe.llm._store import small_batches
-from gavelframe.llm._text import U64, flat, pieces, prefix, span_hash
+from gavelframe.llm._text import U64, flat, give_back, pieces, prefix, span_hash
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -316,6 +316,9 @@ def encode(docs: DataFrame, text: str = "text", model: str = MODEL, digest: bool
             else:
                 out.append(pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids), mask=pa.array(null)))
             yield pa.RecordBatch.from_arrays(out, names=schema.names)
+        _LOADED.clear()  # the worker lives on, for other tasks
+        del bpe
+        give_back()
 
     return docs.mapInArrow(run, schema)
 
