@@ -32,7 +32,7 @@ from gavelframe.llm._text import U64, flat, give_back, pieces, prefix, span_hash
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 KEPT_UNITS = 700_000  # units whose tokens a worker keeps
-AT_ONCE = 1 << 18  # bytes of units matched at once
+AT_ONCE = 1 << 19  # bytes of units matched at once
 
 
 @dataclass
@@ -300,7 +300,7 @@ def encode(docs: DataFrame, text: str = "text", model: str = MODEL, digest: bool
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _model(key, proto.value)
-        for b in pieces(batches, text, 1 << 20):
+        for b in pieces(batches, text, 2 << 20):
             ids, off = bpe.encode(b[text])
             null = b[text].is_null().to_numpy(zero_copy_only=False)
             out = [*[b[f.name] for f in kept], pa.array(np.diff(off), mask=null)]
