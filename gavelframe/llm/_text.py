@@ -48,7 +48,8 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 1 <<
 
 
 def give_back() -> None:
-    """Returns what the allocator keeps of freed arrays, as a worker lives on after its task."""
+    """Returns what the allocators keep of freed arrays, as a worker lives on after its task."""
+    pa.default_memory_pool().release_unused()
     if _LIBC:
         _LIBC.malloc_trim(0)
 
