@@ -32,7 +32,8 @@ from gavelframe.llm._text import U64, flat, give_back, pieces, prefix, span_hash
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 KEPT_UNITS = 700_000  # units whose tokens a worker keeps
-AT_ONCE = 1 << 19  # bytes of units matched at once
+AT_ONCE = 1 << 18  # bytes of units matched at once
+SLICE = 1 << 18  # bytes of text encoded at once
 
 
 @dataclass
@@ -201,27 +202,65 @@ class Bpe:
         ids = np.where(t[which] == -1, self.byte[buf[np.minimum(at[which] + inside, len(buf) - 1)]], t[which]).astype(np.int32)
         return ids, np.concatenate([[0], np.cumsum(np.bincount(unit[at], wide, minlength=len(size)))]).astype(np.int64)
 
-    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(tokens, offsets) of the texts."""
+    @staticmethod
+    def units(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(bytes with a space in front of each text that is not empty, offsets of the texts, start, end and hash of the units).
+
+        A unit goes from the first of some spaces to the next space behind a word.
+        """
         raw, off = flat(column)
-        # a space in front of each text that is not empty, then units: from the first of some spaces to the next space behind a word
         size = np.diff(off)
         full = size > 0
         buf = np.insert(raw, off[:-1][full], 32)
         off = off + np.concatenate([[0], np.cumsum(full)])
-        if not len(buf):
-            return np.zeros(0, np.int32), np.zeros(len(off), np.int64)
         space = buf == 32
         begin = space.copy()
         begin[1:] &= ~space[:-1]
         begin[3:] &= ~((buf[:-3] == 0xE2) & (buf[1:-2] == 0x96) & (buf[2:-1] == 0x81))  # a U+2581 of the text's own is as a space
         begin[off[:-1][full]] = True
         start = np.flatnonzero(begin)
-        stop = np.append(start[1:], len(buf))
-        key = span_hash(prefix(buf), start, stop)
+        stop = np.append(start[1:], len(buf))[: len(start)]
+        return buf, off, start, stop, span_hash(prefix(buf), start, stop)
+
+    def _unmet(self, units: np.ndarray) -> np.ndarray:
+        if not len(self.unit_key):
+            return np.arange(len(units))
+        at = np.minimum(np.searchsorted(self.unit_key, units), len(self.unit_key) - 1)
+        return np.flatnonzero(self.unit_key[at] != units)
+
+    def meet(self, slices: Iterator[pa.Array]) -> None:
+        """Encodes the new units of many slices together, as each call looks up all pieces; about AT_ONCE bytes of units are held."""
+        held: dict[int, bytes] = {}
+        size = 0
+
+        def learn() -> None:
+            units, body = np.fromiter(held.keys(), U64, len(held)), list(held.values())
+            ends = np.cumsum([len(x) for x in body])
+            if len(self.unit_key) + len(units) <= KEPT_UNITS:  # else encode() starts anew
+                self._learn(units, np.frombuffer(b"".join(body), np.uint8), ends - [len(x) for x in body], ends)
+            held.clear()
+
+        for column in slices:
+            buf, _, start, stop, key = self.units(column)
+            units, pick = np.unique(key, return_index=True)
+            new = self._unmet(units)
+            for u, a, b in zip(units[new].tolist(), start[pick[new]].tolist(), stop[pick[new]].tolist(), strict=True):
+                if u not in held:
+                    held[u] = buf[a:b].tobytes()
+                    size += b - a
+            if size >= AT_ONCE:
+                learn()
+                size = 0
+        if held:
+            learn()
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens, offsets) of the texts."""
+        buf, off, start, stop, key = self.units(column)
+        if not len(buf):
+            return np.zeros(0, np.int32), np.zeros(len(off), np.int64)
         units, pick, back = np.unique(key, return_index=True, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.unit_key, units), max(len(self.unit_key) - 1, 0))
-        new = np.flatnonzero(self.unit_key[at] != units) if len(self.unit_key) else np.arange(len(units))
+        new = self._unmet(units)
         if len(new):
             if len(self.unit_key) + len(new) > KEPT_UNITS:  # start anew; those of this slice are all encoded again
                 self.unit_key, self.unit_at, self.unit_n, self.unit_ids = np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
@@ -272,6 +311,13 @@ class Bpe:
         return [data[s + 1 if data[s : s + 1] == b" " else s : e] for s, e in zip(ends[:-1], ends[1:], strict=True)]
 
 
+def slices(batches: Iterator[pa.RecordBatch], text: str, bpe: Bpe) -> Iterator[pa.RecordBatch]:
+    """Small slices of the batches, after the encoder has met all units of their batch."""
+    for b in batches:
+        bpe.meet(p[text] for p in pieces([b], text, SLICE))
+        yield from pieces([b], text, SLICE)
+
+
 _LOADED: dict[str, Bpe] = {}
 
 
@@ -300,7 +346,7 @@ def encode(docs: DataFrame, text: str = "text", model: str = MODEL, digest: bool
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _model(key, proto.value)
-        for b in pieces(batches, text, 2 << 20):
+        for b in slices(batches, text, bpe):
             ids, off = bpe.encode(b[text])
             null = b[text].is_null().to_numpy(zero_copy_only=False)
             out = [*[b[f.name] for f in kept], pa.array(np.diff(off), mask=null)]
