@@ -1,15 +1,21 @@
 """License scan by sentence rules, with DataFrame functions only.
 
-A text falls into sentences (at line ends and after . ! ? ; with white space), which are normalised: A-Z lower-cased, all but
-letters, digits and inner dots made single spaces. A table maps known licence sentences to identifiers; other sentences are gaps,
-save those that say that something is licensed, which are unknown references. Ordered rules are then matched against the
-sequence of identifiers: the first rule that fits takes its identifiers, so that longer rules come first.
+A text falls into pieces (at line ends and after . ! ? ; with white space), which are normalised: A-Z lower-cased, all but
+letters, digits and inner dots made single spaces; empty pieces count as blank lines. A table maps known licence sentences to
+identifiers. A known sentence is one piece or as many as its wrapped lines make, the longest first; it goes on past an end mark
+or a blank line only where its own text has one (MARKED). Other pieces are gaps, save those that say that something is licensed,
+if need be over a line end, which are unknown references. Ordered rules are then matched against the sequence of identifiers:
+the first rule that fits takes its identifiers, so that longer rules come first.
+
+The SQL form knows no wrapped lines: it gives the same rows where no known sentence is wrapped or has an end mark within.
 
 Null and empty texts have no sentence and no licence. A licence found twice is named once. Extra columns pass through.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,15 +75,32 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BREAK, NOT_KEPT, OUTER_DOTS, SAYS_LICENSED = r"([.!?;])[ \t\r\f]+", r"[^a-z0-9.]+", r"[.]*( |$)[. ]*", r"(^| )(licen[sc]ed|released) under "
 
 
-def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(F.translate(sentence, UPPER, LOWER), NOT_KEPT, " "), OUTER_DOTS, " "))
+#: neighbouring words between which the known text itself has an end mark or a blank line
+MARKED = {("v.", "2.0"), ("warranty", "without"), ("at", "http")}
+#: in the text as a whole / stands for a line end and | for the end of a sentence or paragraph
+END_MARK, NOT_KEPT_WHOLE, PARAGRAPH, LINE, SAYS = r"[.!?;][ \t\r\f/]+", r"[^a-z0-9.|/]+", r"[. ]*(?:/[. ]*[/|]|[|])[|/ ]*", r"[. ]*/ ?", r"[ |/](?:licen[sc]ed|released)"
+
+
+def normalised(text: Column) -> Column:
+    """The normalised pieces, with / or | before each."""
+    plain = F.regexp_replace(F.translate(text, f"{UPPER}|/\n", f"{LOWER}  /"), END_MARK, "|")
+    words = F.regexp_replace(F.regexp_replace(plain, NOT_KEPT_WHOLE, " "), OUTER_DOTS, " ")
+    return F.concat(F.lit("|"), F.btrim(F.regexp_replace(F.regexp_replace(words, PARAGRAPH, "|"), LINE, "/"), F.lit("|/ ")))
+
+
+def _pieces(known: dict[str, tuple[str, ...]]) -> str:
+    """Matches a known sentence over its lines, or a piece with those that "licensed under" goes on in."""
+    wrapped = lambda ws: re.escape(ws[0]) + "".join(("[ /|]" if pair in MARKED else "[ /]") + re.escape(pair[1].rstrip(".")) for pair in zip(ws, ws[1:]))
+    sentences = "|".join(wrapped(s.split(" ")) for s in sorted((s for ss in known.values() for s in ss), key=lambda s: (-len(s), s)))
+    return rf"[|/](?:{sentences})(?=[|/]|$)|[|/][^|/]*+(?:(?<={SAYS})/under[ /][^|/]*+|(?<={SAYS} under)/[^|/]*+)*"
 
 
 def identifiers(text: Column, known: dict[str, tuple[str, ...]] = SENTENCES) -> Column:
     """`|id|id|...|` with `~` for gaps."""
-    table = F.create_map(*[F.lit(x) for i, ss in known.items() for s in ss for x in (s, i)])
-    sentences = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), BREAK, "$1\n"), "\n+")
-    each = F.transform(F.transform(sentences, normalised), lambda s: F.coalesce(F.try_element_at(table, s), F.when(s.rlike(SAYS_LICENSED), "unknown"), F.lit("~")))
+    table = F.create_map(*[F.lit(x) for i, ss in known.items() for s in ss for x in (s.replace(". ", " "), i)])
+    pieces = F.regexp_extract_all(normalised(F.coalesce(text, F.lit(""))), F.lit(_pieces(known)), F.lit(0))
+    sentences = F.transform(pieces, lambda p: F.translate(F.substring(p, 2, 2**31 - 1), "|/", "  "))
+    each = F.transform(sentences, lambda s: F.coalesce(F.try_element_at(table, s), F.when(s.rlike(SAYS_LICENSED), "unknown"), F.lit("~")))
     return F.regexp_replace(F.concat(F.lit("|"), F.array_join(each, "|"), F.lit("|")), r"(\|~)+\|", "|~|")
 
 

@@ -4,12 +4,14 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from gavelframe.llm import embedding_dedup, jaccard_join, kneser_ney, langid, licenses, mixing, sentencepiece_bpe, suffix_dedup, url_filter, winnowing
 
@@ -266,6 +268,25 @@ def test_licenses(spark):
     assert [got[t] for t in texts_] == [("MIT", 1), ("MIT", 2), ("CC-BY-NC-4.0,all-rights-reserved", 2), ("unknown-reference", 1), ("GPL-3.0-only", 1), ("", 0), ("", 0), ("", 0)]
 
 
+def test_licenses_over_lines(spark):
+    known = [s for ss in licenses.SENTENCES.values() for s in ss]
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
+    notice = "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+    as_is = "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE."
+    apache = "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an \"AS IS\" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\nSee the License for the specific language."
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more details."
+    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one."
+    headers = [("\n\n".join(textwrap.fill(p, 72) for p in (mit, notice, as_is)), "MIT", 3), (apache, "Apache-2.0", 4), (gpl, "GPL-3.0-or-later", 2), (textwrap.fill(bsd, 72), "BSD", 1), (textwrap.fill(mpl, 72), "MPL-2.0", 1), (textwrap.fill(mpl, 60).replace("v. 2", "v.\n2"), "MPL-2.0", 1)]
+    headers += [("/*\n" + "".join(f" * {x}".rstrip() + "\r\n" for x in t.split("\n")) + " */\nint main;", name, n) for t, name, n in headers]
+    headers += [("it is licensed\nunder my terms\nfoo", "unknown-reference", 1), ("it is licensed\nunder\nmy terms", "unknown-reference", 1), ("it is released under\nmy terms", "unknown-reference", 1), ("licensed under a\nlicensed under b", "unknown-reference", 2), ("It was released.\nUnder my desk", "", 0), ("All rights.\nReserved", "", 0), ("all rights\n\nreserved", "", 0)]
+    got = {r.text: (r.licenses, r.n_sentences) for r in licenses.scan(spark.createDataFrame([(t,) for t, _, _ in headers], "text string")).collect()}
+    assert [got[t] for t, _, _ in headers] == [(name, n) for _, name, n in headers]
+    wraps = [(s, f"Some words before.\n{textwrap.fill(s, width, break_long_words=False)}\n\nwords behind") for s in known for width in (72, 30, 12)]
+    ids = dict(spark.createDataFrame(wraps, "s string, text string").select("text", licenses.identifiers(F.col("text")).alias("ids")).collect())
+    assert {s: ids[t] for s, t in wraps} == {s: f"|~|{i}|~|" for i, ss in licenses.SENTENCES.items() for s in ss} and all(ids[t] == ids[wraps[i - i % 3][1]] for i, (_, t) in enumerate(wraps))
+
+
 def test_mixing(spark, docs):
     many = spark.range(3000).selectExpr("id AS doc_id", "repeat('w ', cast(1 + id % 37 as int)) AS text", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 = 1 THEN 'tiny' WHEN id % 11 = 2 THEN NULL ELSE concat('s', id % 4) END AS source", "id AS size")
     taken = mixing.mix(many).collect()
