@@ -1,8 +1,10 @@
 """Document fingerprints by winnowing (Schleimer, Wilkerson and Aiken, 2003), with DataFrame functions only.
 
-Tokens are runs of up to 12 characters that are no white space. Each k tokens have a hash, rolled up from the hashes of their
+Tokens are runs of up to 12 characters that are no white space; a longer run has one for each 12 neighbouring characters, so that
+what is put in or left out changes only tokens near it, in scripts without spaces too. Each k tokens have a hash, rolled up from the hashes of their
 halves; of every w neighbours the smallest is chosen, the rightmost of equal ones, and kept with its position. Two texts that
-share k + w - 1 tokens in a row share a chosen hash, and no hash of fewer than k shared tokens counts.
+share k + w - 1 tokens in a row (within a long run k + w + 10 characters) share a chosen hash, and no hash of fewer than k shared
+tokens counts.
 
 Null and empty texts, and texts of white space alone, have an empty fingerprint; two empty fingerprints are alike (1), an empty
 and another one are not (0). Texts of fewer than k tokens have one hash of all of them. Positions count tokens, up to 2**28.
@@ -16,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 K, W = 4, 4
+#: matches a run's last 12 characters or fewer whole, else one character; its group is the token that starts there
+TOKEN = r"(?=(\S{1,12}))(?:\S{1,12}+(?!\S)|\S)"
 POSITION_BITS = 28
 MASK = (1 << POSITION_BITS) - 1
 
@@ -46,7 +50,7 @@ def _doubled(a: Column, step: int, width: int, f: Callable[[Column, Column], Col
 
 def fingerprint(text: Column, k: int = K, w: int = W) -> Column:
     """array<bigint>, in order of position: hash in the upper 36 bits, 2**28 - 1 - position in the lower ones. k and w are powers of 2."""
-    hashes = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"\S{1,12}"), F.lit(0)), lambda t: F.xxhash64(t))
+    hashes = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(1)), lambda t: F.xxhash64(t))
     grams = lambda h: F.when(F.size(h) > k - 1, _windows(h, k, lambda a, b: F.xxhash64(a, b))).when(F.size(h) > 0, F.array(F.xxhash64(h))).otherwise(F.array().cast("array<bigint>"))
     packed = lambda g: F.transform(g, lambda x, i: x.bitwiseAND(F.lit(~MASK)).bitwiseOR(F.lit(MASK) - i.cast("bigint").bitwiseAND(F.lit(MASK))))
     least = lambda p: F.when(F.size(p) >= w, _windows(p, w, lambda a, b: F.least(a, b))).when(F.size(p) > 0, F.array(F.array_min(p))).otherwise(p)

@@ -253,6 +253,21 @@ def test_winnowing_takes_the_rightmost(spark):
     assert p == list(range(winnowing.W - 1, 12 - winnowing.K + 1))
 
 
+def test_winnowing_in_long_runs(spark):
+    rng = random.Random(7)
+    runs = ["".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(5000)), "".join(rng.choice("acgt") for _ in range(3000))]
+    same = winnowing.likeness(F.array_distinct(winnowing.hashes(winnowing.fingerprint(F.col("a")))), F.array_distinct(winnowing.hashes(winnowing.fingerprint(F.col("b")))))
+    pairs = [(x, y) for r in runs for x, y in ((r, "x" + r), (r, r[:1000] + r[1001:]), (r, r[:500] + " " + r[500:]))] + [(runs[1], "".join(rng.choice("acgt") for _ in range(3000)))]
+    got = [r.same for r in spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string").select("i", same.alias("same")).orderBy("i").collect()]
+    assert min(got[:-1]) > 0.98 and got[-1] < 0.01
+    part = runs[0][100 : 100 + 12 + winnowing.K + winnowing.W - 2]
+    hashes = [set(r.h) for r in spark.createDataFrame([(f"{chr(i)}{part}{chr(i + 1)}" * 2,) for i in (0x3041, 0x3061)], "t string").select(winnowing.hashes(winnowing.fingerprint(F.col("t"))).alias("h")).collect()]
+    assert hashes[0] & hashes[1]
+    words = "twelveletter is a thirteenchars word \U0001f600\U0001f601 end"
+    tokens = spark.createDataFrame([(words,)], "t string").select(F.regexp_extract_all("t", F.lit(winnowing.TOKEN), F.lit(1)).alias("x")).first().x
+    assert tokens == [t for run in words.split() for t in ([run[i : i + 12] for i in range(max(1, len(run) - 11))])]
+
+
 def test_url_filter(spark):
     urls = ["http://a.com/en/1", "http://example.com/en/7x?y", "HTTP://X.Example.NET/de/8", "https://b.net/de/9#z", "http://xcom/en/", "nothing", None, "http://h.org/es/", "http://free-casino.example/x", "http://freecasino.example/", "http://a.b/xxx", "http://a.b/axxxb"]
     got = {r.url: r for r in url_filter.url_filter(spark.createDataFrame([(u, "mine") for u in urls], "url string, host string")).collect()}
