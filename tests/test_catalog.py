@@ -71,3 +71,8 @@ def test_scalars(spark):
     df = spark.createDataFrame([("Jane A. Doe", "3/4/24", 2024, "$1,200.50", " n/a ")], "name string, day string, hint int, money string, gap string")
     r = df.select(X.person_key(F.col("name")).alias("key"), X.month_day_year(F.col("day"), F.col("hint")).cast("string").alias("day"), X.tolerant_double(F.col("money")).alias("money"), X.missing_value(F.col("gap")).alias("gap"), X.full_year(F.lit(99), F.lit(2024)).alias("y"), X.split_people(F.lit("Ann, Bob and Unknown & Cy")).alias("people"), X.trim_marks(F.lit(" -x.,")).alias("t")).first()
     assert (r.key, r.day, r.money, r.gap, r.y, r.people, r.t) == ("JANE DOE", "2024-03-04", 1200.5, True, 1999, ["Ann", "Bob", "Cy"], "x")
+
+
+def test_flatten_leaves_no_line_out(spark):
+    got = QUERIES["snk11_flatten_all"](spark, SF)
+    assert got.count() == spark.read.parquet(f"{SF}/lineitem.parquet").count() and got.where("l_orderkey % 10 <> 0").count()
