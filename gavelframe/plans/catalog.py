@@ -324,10 +324,19 @@ def srt11_take_first(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(12)
 
 
+def renumbered(part: DataFrame) -> DataFrame:
+    return R.numbered(part, [F.col("p_brand"), F.lower("p_name"), F.col("p_partkey")]).select(F.format_string("GE%03d", "number").alias("id"), "p_partkey")
+
+
 @query("SELECT format('GE{:03d}', row_number() OVER (ORDER BY p_brand, lower(p_name), p_partkey)) AS id, p_partkey FROM part WHERE p_size = 1")
 def srt08_renumber(t: Tables) -> DataFrame:
-    w = Window.orderBy("p_brand", F.lower("p_name"), "p_partkey")
-    return t.part.where("p_size = 1").select(F.format_string("GE%03d", F.row_number().over(w)).alias("id"), "p_partkey")
+    """The parts of one size, as the SQL has it; srt08_renumber_all is the whole job."""
+    return renumbered(t.part.where("p_size = 1"))
+
+
+@query("SELECT format('GE{:03d}', row_number() OVER (ORDER BY p_brand, lower(p_name), p_partkey)) AS id, p_partkey FROM part")
+def srt08_renumber_all(t: Tables) -> DataFrame:
+    return renumbered(t.part)
 
 
 RESULTS = "VALUES (1, '[SUCCESS] done'), (2, '[SKIP] old'), (3, 'error: No text found in VTT'), (4, 'insufficient_turns'), (5, 'low_squeezed_coverage 0.9'), (6, 'unknown_saturation'), (7, 'Source x not found'), (8, 'boom')"

@@ -76,3 +76,19 @@ def test_scalars(spark):
 def test_flatten_leaves_no_line_out(spark):
     got = QUERIES["snk11_flatten_all"](spark, SF)
     assert got.count() == spark.read.parquet(f"{SF}/lineitem.parquet").count() and got.where("l_orderkey % 10 <> 0").count()
+
+
+def test_numbered(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(5000).select(F.when(F.col("id") % 7 > 0, F.concat(F.lit("s"), F.col("id") % 7)).alias("s"), (F.col("id") * 7919 % 5000).alias("v"))
+    want = sorted((r.s or "", r.v) for r in df.collect())
+    got = R.numbered(df, [F.col("s"), F.col("v")])
+    assert [(r.s or "", r.v) for r in sorted(got.collect(), key=lambda r: r.number)] == want and got.columns == ["s", "v", "number"]
+    assert sorted(r.number for r in got.collect()) == list(range(1, 5001)) and R.numbered(df.limit(0), [F.col("v")]).count() == 0
+
+
+def test_renumber_all_parts(spark):
+    got = QUERIES["srt08_renumber_all"](spark, SF)
+    assert got.count() == spark.read.parquet(f"{SF}/part.parquet").count()
+    assert "SinglePartition" not in got._jdf.queryExecution().toString()
