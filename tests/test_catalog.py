@@ -92,3 +92,18 @@ def test_renumber_all_parts(spark):
     got = QUERIES["srt08_renumber_all"](spark, SF)
     assert got.count() == spark.read.parquet(f"{SF}/part.parquet").count()
     assert "SinglePartition" not in got._jdf.queryExecution().toString()
+
+
+def test_readme_lists_the_open_survey_ids():
+    import re
+
+    import __spark_entry__
+
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    survey, readme = (open(f"{top}/{f}.md", encoding="utf-8").read() for f in ("SURVEY", "README"))
+    named = {n.split("_")[0].upper() for n in __spark_entry__.queries()}
+    listed = set()
+    for group, numbers in re.findall(r"([A-Z]{3}) (\d\d[-, \d]*)", re.search(r"no query that bears their name: (.*?)\. ", readme)[1]):
+        for a, b in re.findall(r"(\d\d)(?:-(\d\d))?", numbers):
+            listed |= {f"{group}{i:02d}" for i in range(int(a), int(b or a) + 1)}
+    assert listed == set(re.findall(r"^\| ([A-Z]{3}\d\d) \|", survey, re.M)) - named
