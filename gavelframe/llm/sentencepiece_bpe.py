@@ -31,7 +31,9 @@ from gavelframe.llm._text import U64, flat, give_back, pieces, prefix, span_hash
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-KEPT_UNITS = 700_000  # units whose tokens a worker keeps
+KEPT_UNITS = 700_000  # units whose tokens a task keeps
+KEPT_PAIRS = 4_000_000  # pairs of pieces of which a worker knows whether they stay apart
+LONG = 512  # bytes; longer units are relaxed one position at a time, in stretches
 AT_ONCE = 1 << 18  # bytes of units matched at once
 SLICE = 1 << 18  # bytes of text encoded at once
 
@@ -97,20 +99,27 @@ class Bpe:
         if len(new):
             said = np.empty(len(new), bool)
             for i, k in enumerate(new.tolist()):
-                a, b = k // len(self.piece) - 1, k % len(self.piece)
-                p = self.piece[b]
-                said[i] = self.merged((self.piece[a] if a >= 0 else "") + p) == ([self.piece[a], p] if a >= 0 else [p])
-            keys = np.concatenate([self.apart_key, new])
-            order = np.argsort(keys)
-            self.apart_key, self.apart = keys[order], np.concatenate([self.apart, said])[order]
+                said[i] = self.one_stays_apart(k // len(self.piece) - 1, k % len(self.piece))
+            if len(self.apart_key) > KEPT_PAIRS:  # start anew
+                self.apart_key, self.apart = np.zeros(0, np.int64), np.zeros(0, bool)
+                return self.stay_apart(left, right)
+            where = np.searchsorted(self.apart_key, new)
+            self.apart_key, self.apart = np.insert(self.apart_key, where, new), np.insert(self.apart, where, said)
         return self.apart[np.searchsorted(self.apart_key, key)]
 
+    def one_stays_apart(self, left: int, right: int) -> bool:
+        p = self.piece[right]
+        return self.merged(self.piece[left] + p) == [self.piece[left], p] if left >= 0 else self.merged(p) == [p]
+
     def __post_init__(self):
         normal = sorted(self.rank.items(), key=lambda x: x[0].encode())
         self.sorted_bytes = [p.encode() for p, _ in normal]
         self.sorted_ids = np.array([i for _, (_, i) in normal], np.int64)
         self.depth = max(map(len, self.sorted_bytes))
         self.width = np.array([len(p) for p in self.sorted_bytes], np.int64)
+        # the range of the suffixes that a piece begins: from itself to itself with the greatest bytes behind it
+        self.low = np.array(self.sorted_bytes, f"S{self.depth}")
+        self.high = np.array([p + b"\xff" * (self.depth - len(p)) for p in self.sorted_bytes], f"S{self.depth}")
 
     def edges(self, buf: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, end, token) of every occurrence of a piece within a unit; end: of the unit at each byte."""
@@ -118,9 +127,7 @@ class Bpe:
         suffix = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, self.depth)[: len(buf)]).view(f"S{self.depth}")[:, 0]
         array = np.argsort(suffix, kind="stable")
         ordered = suffix[array]
-        low = np.array(self.sorted_bytes, f"S{self.depth}")
-        high = np.array([p + b"\xff" * (self.depth - len(p)) for p in self.sorted_bytes], f"S{self.depth}")
-        lo, hi = np.searchsorted(ordered, low, "left"), np.searchsorted(ordered, high, "right")
+        lo, hi = np.searchsorted(ordered, self.low, "left"), np.searchsorted(ordered, self.high, "right")
         n = hi - lo
         which = np.repeat(np.arange(len(n)), n)
         start = array[np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]
@@ -128,6 +135,49 @@ class Bpe:
         ok = stop <= end[start]
         return start[ok], stop[ok], self.sorted_ids[which[ok]]
 
+    def encode_long(self, buf: np.ndarray) -> np.ndarray:
+        """Tokens of one unit of any length: the same steps, over stretches of AT_ONCE bytes and the longest piece, one edge after another."""
+        n = len(buf)
+        last, step = np.full(n + 1, -2, np.int32), np.zeros(n + 1, np.uint8)
+        state = [-1]  # the last tokens from the stretch's start on
+        memo: dict[tuple[int, int], bool] = {}
+        for p in range(0, n, AT_ONCE):
+            part = buf[p : p + AT_ONCE + self.depth]
+            start, stop, token = self.edges(part, np.full(len(part), len(part)))
+            chars = np.flatnonzero((part & 0xC0) != 0x80)
+            follow = np.zeros(len(part) + 1, np.int64)
+            follow[chars] = np.append(chars[1:], len(part))
+            has = np.zeros(len(part) + 1, bool)
+            has[start[stop == follow[start]]] = True
+            strange = chars[~has[chars]]
+            start, stop, token = (np.concatenate(x) for x in ((start, strange), (stop, follow[strange]), (token, np.full(len(strange), -1))))
+            order = np.flatnonzero(start < AT_ONCE)
+            order = order[np.argsort(start[order], kind="stable")]
+            state += [-2] * (len(part) + 1 - len(state))
+            size = step[p : p + len(part) + 1]
+            for s, e, t in zip(start[order].tolist(), stop[order].tolist(), token[order].tolist(), strict=True):
+                left = state[s]
+                if left == -2:
+                    continue
+                if t >= 0:
+                    ok = memo.get((left, t))
+                    if ok is None:
+                        ok = memo[left, t] = self.one_stays_apart(left, t)
+                    if not ok:
+                        continue
+                state[e] = t
+                size[e] = e - s
+            last[p : p + len(state)] = state
+            state = state[AT_ONCE:]
+        if last[n] == -2:
+            raise AssertionError("a unit has no tokens")
+        out, at = [], n  # from the end
+        while at:
+            t, w = int(last[at]), int(step[at])
+            out += [t] if t >= 0 else self.byte[buf[at - w : at]][::-1].tolist()
+            at -= w
+        return np.array(out[::-1], np.int32)
+
     def encode_units(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(tokens, offsets) of units given as UTF-8 with U+2581 for spaces."""
         size = np.diff(off)
@@ -263,7 +313,7 @@ class Bpe:
         new = self._unmet(units)
         if len(new):
             if len(self.unit_key) + len(new) > KEPT_UNITS:  # start anew; those of this slice are all encoded again
-                self.unit_key, self.unit_at, self.unit_n, self.unit_ids = np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+                self.forget()
                 new = np.arange(len(units))
             self._learn(units[new], buf, start[pick[new]], stop[pick[new]])
         at = np.searchsorted(self.unit_key, units)
@@ -285,12 +335,18 @@ class Bpe:
         marked[place[text != 32]] = text[text != 32]
         off = np.concatenate([[0], np.cumsum(np.bincount(which, wide, minlength=len(units)))]).astype(np.int64)
         all_ids, all_n = [self.unit_ids], []
-        i = 0
+        long = np.append(np.flatnonzero(np.diff(off) > LONG), len(units))
+        i, at_long = 0, 0
         while i < len(units):
-            j = max(i + 1, int(np.searchsorted(off, off[i] + AT_ONCE, "right")) - 1)
-            ids, o = self.encode_units(marked[off[i] : off[j]], off[i : j + 1] - off[i])
+            if i == long[at_long]:
+                ids = self.encode_long(marked[off[i] : off[i + 1]])
+                j, counts, at_long = i + 1, np.array([len(ids)]), at_long + 1
+            else:
+                j = max(i + 1, min(int(np.searchsorted(off, off[i] + AT_ONCE, "right")) - 1, int(long[at_long])))
+                ids, o = self.encode_units(marked[off[i] : off[j]], off[i : j + 1] - off[i])
+                counts = np.diff(o)
             all_ids.append(ids)
-            all_n.append(np.diff(o))
+            all_n.append(counts)
             i = j
         n = np.concatenate(all_n)
         at = len(self.unit_ids) + np.cumsum(n) - n
@@ -299,6 +355,10 @@ class Bpe:
         self.unit_key, self.unit_at, self.unit_n = key[order], np.concatenate([self.unit_at, at])[order], np.concatenate([self.unit_n, n])[order]
         self.unit_ids = np.concatenate(all_ids)
 
+    def forget(self) -> None:
+        """Drops the units; the tables and what pieces do together stay."""
+        self.unit_key, self.unit_at, self.unit_n, self.unit_ids = np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
     def decode(self, ids: np.ndarray, off: np.ndarray) -> list[bytes]:
         """The texts' bytes; the space in front goes."""
         if not hasattr(self, "_blob"):
@@ -362,8 +422,7 @@ def encode(docs: DataFrame, text: str = "text", model: str = MODEL, digest: bool
             else:
                 out.append(pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids), mask=pa.array(null)))
             yield pa.RecordBatch.from_arrays(out, names=schema.names)
-        _LOADED.clear()  # the worker lives on, for other tasks
-        del bpe
+        bpe.forget()  # the worker lives on, for other tasks
         give_back()
 
     return docs.mapInArrow(run, schema)
