@@ -1,17 +1,20 @@
 """Sorted hash arrays in the shared folder that spark.checkpoint.dir names.
 
-Tasks write each file under another name first and then rename it, so a task that runs twice leaves one whole file. Where the
-folder is a mounted path the readers map the files into memory; elsewhere they copy a file once per worker and map the copy.
+Tasks write each file under another name first and then rename it, so a task that runs twice leaves one whole file. When a store is
+whole the driver lists its files in a manifest; a reader that misses one of them raises an error instead of finding nothing. Where the
+folder is a mounted path the readers map the files into memory; elsewhere they hold the READ_HELD bytes of files that they used last.
 """
 
 from __future__ import annotations
 
 import atexit
+import io
+import json
 import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from itertools import islice
 from urllib.parse import urlparse
@@ -20,7 +23,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
+READ_HELD = 256 << 20  # bytes of files that a worker holds where it cannot map them
 _OPEN: dict[str, np.ndarray] = {}
+_READ: dict[str, np.ndarray] = {}  # in the order of their use
+_WHOLE: dict[str, dict[str, np.ndarray]] = {}  # manifests
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
@@ -36,6 +42,8 @@ def shared_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="gavelframe-")
         atexit.register(shutil.rmtree, root, True)
     if not sc.getCheckpointDir():
@@ -65,10 +73,11 @@ class Folder:
         else:
             fs, p = _fs(self.uri)
             fs.create_dir(p, recursive=True)
+        self.sealed = 0
         atexit.register(self.remove)
 
     def __getstate__(self):
-        return {"uri": self.uri, "path": self.path}
+        return {"uri": self.uri, "path": self.path, "sealed": self.sealed}
 
     def remove(self) -> None:
         if self.path:
@@ -77,43 +86,102 @@ class Folder:
             fs, p = _fs(self.uri)
             fs.delete_dir(p)
 
-    def save(self, name: str, array: np.ndarray) -> None:
-        """Integers take the narrowest type that holds them (uint64 keys excepted)."""
-        if array.dtype == np.int64:
-            array = array.astype(np.min_scalar_type(int(array.max(initial=0))))
+    def _names(self) -> list[str]:
         if self.path:
-            tmp = f"{self.path}/.{name}-{uuid.uuid4().hex}.npy"
-            np.save(tmp, array)
-            os.replace(tmp, f"{self.path}/{name}.npy")
+            return os.listdir(self.path)
+        from pyarrow.fs import FileSelector
+
+        fs, p = _fs(self.uri)
+        return [f.base_name for f in fs.get_file_info(FileSelector(p))]
+
+    def drop(self, prefixes: Iterable[str]) -> None:
+        """On the driver: removes the files whose names begin so."""
+        begins = tuple(prefixes)
+        for name in self._names() if begins else []:
+            if name.startswith(begins):
+                if self.path:
+                    os.remove(f"{self.path}/{name}")
+                else:
+                    fs, p = _fs(self.uri)
+                    fs.delete_file(f"{p}/{name}")
+
+    def seal(self) -> None:
+        """On the driver, after the job that writes files: they are listed, a bit a shard, for the closures made from now on."""
+        shards: dict[str, list[int]] = {}
+        for name in self._names():
+            if name.endswith(".npy") and not name.startswith("."):
+                column, _, shard = name[:-4].rpartition("-")
+                shards.setdefault(column, []).append(int(shard))
+        bits = {c: np.packbits(np.bincount(x)[: max(x) + 1].astype(bool)).tobytes().hex() for c, x in shards.items() if max(x) < 1 << 24}
+        self.sealed += 1
+        self._write(f"manifest-{self.sealed}.json", lambda f: f.write(json.dumps(bits).encode()))
+
+    def _manifest(self) -> dict[str, np.ndarray]:
+        key = f"{self.uri}/manifest-{self.sealed}.json"
+        if key not in _WHOLE:
+            if len(_WHOLE) > 100:
+                _WHOLE.clear()
+            if self.path:
+                with open(f"{self.path}/manifest-{self.sealed}.json", "rb") as f:
+                    data = f.read()
+            else:
+                fs, p = _fs(key)
+                with fs.open_input_stream(p) as f:
+                    data = f.read()
+            _WHOLE[key] = {c: np.unpackbits(np.frombuffer(bytes.fromhex(x), np.uint8)).astype(bool) for c, x in json.loads(data).items()}
+        return _WHOLE[key]
+
+    def _write(self, name: str, write) -> None:
+        """Under another name first, so that a file is whole or absent."""
+        tmp = f".{uuid.uuid4().hex}-{name}"
+        if self.path:
+            with open(f"{self.path}/{tmp}", "wb") as f:
+                write(f)
+            os.replace(f"{self.path}/{tmp}", f"{self.path}/{name}")
         else:
             fs, p = _fs(self.uri)
-            tmp = f"{p}/.{name}-{uuid.uuid4().hex}"
-            with fs.open_output_stream(tmp) as f:
-                np.save(f, array)
-            fs.move(tmp, f"{p}/{name}.npy")
+            with fs.open_output_stream(f"{p}/{tmp}") as f:
+                write(f)
+            fs.move(f"{p}/{tmp}", f"{p}/{name}")
 
-    def load(self, name: str) -> np.ndarray | None:
-        """The array, mapped into memory; None if there is none."""
+    def save(self, name: str, array: np.ndarray) -> None:
+        """Integers take the narrowest type that holds them (uint64 keys excepted)."""
+        if array.dtype == np.int64:
+            array = array.astype(np.min_scalar_type(int(array.max(initial=0))))
+        self._write(f"{name}.npy", lambda f: np.save(f, array))
+
+    def load(self, name: str, must: bool = False) -> np.ndarray | None:
+        """The array; None if the store has none of this name. Raises if a file that it has, or must have, is missing."""
+        if not must:
+            column, _, shard = name.rpartition("-")
+            have = self._manifest().get(column)
+            if have is None or int(shard) >= len(have) or not have[int(shard)]:
+                return None
+        try:
+            return self._mapped(name) if self.path else self._read(name)
+        except (FileNotFoundError, pa.ArrowInvalid) as e:
+            raise FileNotFoundError(f"the store {self.uri} has lost its file {name}.npy") from e
+
+    def _mapped(self, name: str) -> np.ndarray:
         key = f"{self.uri}/{name}"
         if key not in _OPEN:
             if len(_OPEN) > 20_000 or not all(k.startswith(self.uri) for k in islice(_OPEN, 1)):
                 _OPEN.clear()  # files of a folder that is done with would stay on disk
-            try:
-                if self.path:
-                    a = np.load(f"{self.path}/{name}.npy", mmap_mode="r")
-                else:
-                    fs, p = _fs(self.uri)
-                    with tempfile.TemporaryFile() as t, fs.open_input_stream(f"{p}/{name}.npy") as f:
-                        shutil.copyfileobj(f, t)
-                        t.seek(0)
-                        version = np.lib.format.read_magic(t)
-                        shape, _, dtype = getattr(np.lib.format, f"read_array_header_{version[0]}_0")(t)
-                        a = np.memmap(t, dtype, "r", t.tell(), shape) if np.prod(shape) else np.zeros(shape, dtype)
-                _OPEN[key] = a
-            except (FileNotFoundError, pa.ArrowInvalid):
-                _OPEN[key] = None
+            _OPEN[key] = np.load(f"{self.path}/{name}.npy", mmap_mode="r")
         return _OPEN[key]
 
+    def _read(self, name: str) -> np.ndarray:
+        key = f"{self.uri}/{name}"
+        if key in _READ:
+            _READ[key] = _READ.pop(key)
+        else:
+            fs, p = _fs(self.uri)
+            with fs.open_input_file(f"{p}/{name}.npy") as f:
+                _READ[key] = np.load(io.BytesIO(f.read()))
+            while len(_READ) > 1 and sum(x.nbytes for x in _READ.values()) > READ_HELD:
+                del _READ[next(iter(_READ))]
+        return _READ[key]
+
 
 @contextmanager
 def shuffles_end(spark: SparkSession) -> Iterator[None]:

@@ -1,8 +1,8 @@
 """Embedding near-duplicates: int8 tile products with rigorous quantisation error bounds.
 
 A unit vector u is s * c + e with int8 codes c, scale s and an error e of known length. The dot product of two unit vectors is then
-at most s s' (c . c') + |s c| |e'| + |e| |s' c'| + |e| |e'|. Tiles of blocks of vectors take the products of the codes (whole numbers
-below 2**24, so single precision holds them exactly); only pairs whose bound reaches the threshold are computed again, from the
+at most s s' (c . c') + |s c| |e'| + |e| |s' c'| + |e| |e'|. Tiles of blocks of vectors take the products of the codes (EXACT
+dimensions at a time, whole numbers below 2**24 that single precision holds exactly); only pairs whose bound reaches the threshold are computed again, from the
 stored vectors in double precision. Equal vectors count once, with their number. A tile sends link counts and a spanning forest, never
 its pairs, and reads its two blocks from the shared folder, so that no block is copied through a shuffle.
 
@@ -26,6 +26,7 @@ from gavelframe.llm._text import U64, mix
 
 BLOCK = 4096
 STRIPE = 512
+EXACT = 1040  # 127 * 127 * 1040 < 2**24: products of so many codes are exact in single precision
 SLACK = 1e-5  # of single precision in the bounds
 
 
@@ -94,7 +95,9 @@ def tile(folder: Folder, i: int, j: int, threshold: float) -> Iterator[tuple[np.
     label = None
     for s in range(0, nl, STRIPE):
         e = min(s + STRIPE, nl)
-        bound = lc[s:e].astype(np.float32) @ r32
+        bound = lc[s:e, :EXACT].astype(np.float32) @ r32[:EXACT]
+        for k in range(EXACT, width, EXACT):  # sums of whole numbers above 2**24 would lose their last bits in single precision
+            bound = bound.astype(np.float64) + lc[s:e, k : k + EXACT].astype(np.float32) @ r32[k : k + EXACT]
         bound *= ls[s:e, None].astype(np.float32)
         bound *= rs
         bound += la[s:e, None].astype(np.float32) * re
@@ -162,6 +165,7 @@ def embedding_links(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "e
 
     dealt = distinct.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int")).repartition(parts, "block").sortWithinPartitions("block", "key")
     dealt.select("block", "key", "count", "vec").mapInArrow(save, "n long").agg(F.sum("n")).first()
+    folder.seal()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

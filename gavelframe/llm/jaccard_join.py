@@ -230,6 +230,7 @@ def _buckets(docs: DataFrame, text: str, t: Threshold, folder: Folder, bits: int
     signed = _dealt(docs.select(text).mapInArrow(sign, "shard int, sig binary, id binary"))
     gathered = _dealt(signed.mapInArrow(gather, "shard int, name binary, size binary, member binary"))
     _dealt(gathered.mapInArrow(save, "shard int, id binary")).mapInArrow(candidates, "n long").agg(F.sum("n")).first()
+    folder.seal()
 
 
 def _sets(docs: DataFrame, text: str, t: Threshold, folder: Folder, bits: int) -> None:
@@ -262,6 +263,7 @@ def _sets(docs: DataFrame, text: str, t: Threshold, folder: Folder, bits: int) -
             yield pa.RecordBatch.from_pydict({"n": pa.array([len(ids)], pa.int64())})
 
     _dealt(docs.select(text).mapInArrow(write, "shard int, id binary, place binary, count binary, segment binary")).mapInArrow(index, "n long").agg(F.sum("n")).first()
+    folder.seal()
 
 
 class _Sets:
@@ -390,7 +392,7 @@ def _links(spark: SparkSession, t: Threshold, folder: Folder, bits: int) -> Data
                         need = np.sort(np.array(need, U64))
                         found, (place, count, number) = lookup(folder, bits, need, ("place", "count", "number"))
                         assert found.all()
-                        sets = [np.asarray(folder.load(f"segment-{n}")[p : p + c]) for p, c, n in zip(place, count, number, strict=True)]
+                        sets = [np.asarray(folder.load(f"segment-{n}", must=True)[p : p + c]) for p, c, n in zip(place, count, number, strict=True)]
                         elements += int(count.sum())
                         new = [j for j, m in enumerate(need.tolist()) if m not in held.place]
                         for j, m in enumerate(need.tolist()):
@@ -459,6 +461,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresh
             yield pa.RecordBatch.from_pydict({"n": pa.array([int(twice.sum())], pa.int64())})
 
     repeated = _dealt(judged.mapInArrow(keyed, "shard int, key binary, twice binary")).mapInArrow(save, "n long").agg(F.sum("n")).first()[0]
+    folder.seal()
     schema = T.StructType([*docs.schema.fields, T.StructField("__key", T.LongType())])
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

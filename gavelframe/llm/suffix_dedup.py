@@ -7,23 +7,27 @@ repeat are indexed:
 2. In every window of `length` bytes the 32-byte gram with the smallest hash (the leftmost of equal ones) is its anchor, so that equal
    windows have equal anchors at equal places. An anchor and the windows it belongs to are a context: the bytes from its first window's
    start to its last window's end. Anchors are counted over all texts; one that occurs once has no repeated window.
-3. Contexts that are equal as a whole repeat whole. The others of a repeated anchor are dealt by the anchor to the index families.
-   A family takes them in batches: each batch gets a suffix array of its windows (sorted by their bytes), which is merge-scanned
-   against every level, marking both sides of each match; levels of equal size then merge, so that a window is merged at most
-   log2(batches) times and a level is never sorted again from nothing.
+3. Contexts that are equal as a whole repeat whole. The others of a repeated anchor are dealt by the anchor to the index: one family of
+   suffix arrays a shard. The documents come in BATCHES batches. Each gets a suffix array of its contexts' windows, which is
+   merge-scanned against every level that earlier batches have left in the shared folder, marking both sides of each match; levels of
+   equal size then merge, so that a window is merged at most log2(batches) times and no level is sorted again from nothing.
 4. A last pass over the texts finds each context's repeated windows by the context's hash and removes the bytes they cover.
 
-No text is shuffled; the marks are sorted hash arrays in the shared folder. Before anything is dealt, map tasks drop contexts that
-they have sent already. Families bound their windows held at once and cut a very frequent anchor's windows by their place.
+No text is shuffled; levels and marks are sorted arrays in the shared folder. Before anything is dealt, map tasks drop contexts that
+they have sent already. An anchor with more than HOT different contexts is dealt by its windows' places before it as well. Equal windows
+agree in anchor and place, so suffixes are ordered by these first and bytes are compared only where they agree, WINDOWS_HELD at a
+time. Texts of any length are read in stretches of STRETCH windows.
 
 Null texts are empty; texts of fewer than `length` bytes stay. Repeated rows are texts that occur more than once. Matches never cross
-texts. Bytes are compared, not characters, so what is kept may be no UTF-8: it is returned as binary.
+texts. Bytes are compared, not characters, so what is kept may be no UTF-8: it is returned as binary. Empty tables give empty results.
+Other columns pass through; those with the names of the new ones are replaced.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -36,19 +40,45 @@ from gavelframe.llm._text import BASE, U64, flat, from_planes, give_back, low_pl
 
 GRAM = 32
 BATCHES = 4
-WINDOWS_HELD = 100_000
+WINDOWS_HELD = 100_000  # windows whose bytes are compared at once
+HOT, PLACES = 4096, 32  # an anchor with more contexts is dealt by this many places at a time
+STRETCH = 1 << 20  # windows of one text that are read at once
 FLUSH = 400_000  # anchors that a map task holds before it sends them
 FLUSH_BYTES = 8 << 20  # bytes of contexts likewise
 
 
+def text_hashes(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """span_hash() of each text, a stretch of STRETCH bytes at a time for long ones."""
+    if len(off) > 2 or len(buf) <= STRETCH:
+        return span_hash(prefix(buf), off[:-1], off[1:])
+    total, power = 0, 1
+    for p in range(0, len(buf), STRETCH):
+        part = buf[p : p + STRETCH]
+        total += int(prefix(part)[-1]) * power
+        power = power * pow(BASE, len(part), 1 << 64) % (1 << 64)
+    return mix(np.array([(total + len(buf) * 0x632BE59BD9B4E019) % (1 << 64)], U64))
+
+
+def stretches(column: pa.Array, length: int) -> Iterator[Contexts]:
+    """The contexts of a slice of texts; a long text alone comes in stretches that share length - 1 bytes, so each window in one of them."""
+    buf, off = flat(column)
+    names = text_hashes(buf, off)
+    if len(off) > 2 or len(buf) <= STRETCH + length - 1:
+        yield Contexts(buf, off, names, length)
+        return
+    for p in range(0, len(buf) - length + 1, STRETCH):
+        part = buf[p : p + STRETCH + length - 1]
+        yield Contexts(part, np.array([0, len(part)]), names, length, p)
+
+
 class Contexts:
     """The anchors of a slice of texts, with the windows that belong to each."""
 
-    def __init__(self, column: pa.Array, length: int):
-        self.buf, self.off = flat(column)
+    def __init__(self, buf: np.ndarray, off: np.ndarray, text: np.ndarray, length: int, shift: int = 0):
+        """text: the hashes of the whole texts; shift: where the buffer begins in the text, if it is a stretch of one."""
+        self.buf, self.off, self.text, self.shift = buf, off, text, shift
         n = len(self.buf)
         self.sums = prefix(self.buf)
-        self.text = span_hash(self.sums, self.off[:-1], self.off[1:])
         size = np.diff(self.off)
         windows = n - length + 1
         if windows <= 0 or not (size >= length).any():
@@ -59,8 +89,7 @@ class Contexts:
         _, inverse = powers(n + 1)
         gram = ((self.sums[GRAM:] - self.sums[:-GRAM]) * inverse[: n - GRAM + 1]) * U64(BASE)
         place = np.arange(len(gram), dtype=U64)
-        low = (gram & ~U64((1 << 26) - 1)) | place if len(gram) < 1 << 26 else None
-        assert low is not None, "a slice of texts is too long"
+        low = (gram & ~U64((1 << 26) - 1)) | place
         span, step = length - GRAM + 1, 1
         while step * 2 <= span:
             low = np.minimum(low[:-step], low[step:])
@@ -124,92 +153,120 @@ def _ints(blobs: list[bytes]) -> np.ndarray:
     return np.concatenate([from_planes(x, 8) for x in blobs])
 
 
-class IndexFamily:
-    """Suffix arrays of geometric sizes over windows of one buffer; add() marks what repeats."""
-
-    def __init__(self, windows: np.ndarray):
-        """windows: the first bytes of each suffix, as fixed-width byte strings without zero bytes."""
-        self.windows = windows
-        self.repeats = np.zeros(len(windows), bool)
-        self.levels: list[tuple[int, np.ndarray]] = []  # (batches in it, windows in order)
-
-    def _sorted(self, at: np.ndarray) -> np.ndarray:
-        return at[np.argsort(self.windows[at], kind="stable")]
-
-    def _merged(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Both arrays in order; the stable sort finds the two runs and merges them."""
-        return self._sorted(np.concatenate([a, b])) if len(a) and len(b) else np.concatenate([a, b])
-
-    def add(self, at: np.ndarray) -> None:
-        new = self._sorted(at)
-        self._mark(new)
-        for _, level in self.levels:
-            self._mark(self._merged(level, new))
-        size = 1
-        while self.levels and self.levels[-1][0] <= size:
-            n, level = self.levels.pop()
-            new, size = self._merged(level, new), size + n
-        self.levels.append((size, new))
-
-    def _mark(self, order: np.ndarray) -> None:
-        """Neighbours in suffix order with `length` bytes in common repeat each other."""
-        if len(order) > 1:
-            same = np.flatnonzero(self.windows[order[1:]] == self.windows[order[:-1]])
-            self.repeats[order[same]] = True
-            self.repeats[order[same + 1]] = True
-
-
-def _match(key: np.ndarray, ahead: np.ndarray, context: list[bytes], length: int) -> list[np.ndarray]:
-    """For each distinct context of repeated anchors, which of its windows occur in another context too."""
-    count = np.array([len(c) - length + 1 for c in context], np.int64)
-    out = [np.zeros(n, bool) for n in count]
-    order = np.argsort(key, kind="stable")
-    cut = runs(key[order])
-    groups = [order[cut[i] : cut[i + 1]] for i in range(len(cut) - 1)]
-    batch: list[np.ndarray] = []
-    held = 0
-
-    def match(members: np.ndarray, lo: int, hi: int) -> None:
-        """Windows that start lo..hi-1 bytes before their anchor."""
-        text = np.frombuffer(b"".join([context[m] for m in members]), np.uint8) + np.uint8(1)  # no zero byte ends a string early
-        base = np.concatenate([[0], np.cumsum([len(context[m]) for m in members])])
-        start, owner, place = [], [], []
-        for i, m in enumerate(members):
-            w = np.arange(max(0, ahead[m] - hi + 1), min(count[m], ahead[m] - lo + 1))
-            start.append(base[i] + w)
-            owner.append(np.full(len(w), i))
-            place.append(w)
-        start, owner, place = (np.concatenate(x) for x in (start, owner, place))
-        if not len(start):
+@dataclass
+class Level:
+    """A suffix array over the windows of some contexts.
+
+    Contexts: name, key (of their anchor), ahead (bytes before the anchor), skip (windows of the whole context before the first one
+    here) and where they start in body. Windows, in suffix order: group (key and place before the anchor), owner (a context) and at
+    (its place in the context).
+    """
+
+    name: np.ndarray
+    key: np.ndarray
+    ahead: np.ndarray
+    skip: np.ndarray
+    start: np.ndarray  # one more than contexts
+    body: np.ndarray
+    group: np.ndarray
+    owner: np.ndarray
+    at: np.ndarray
+
+    CONTEXTS = ("name", "key", "ahead", "skip", "start", "body")
+    WINDOWS = ("owner", "at")
+
+    @staticmethod
+    def of(name: np.ndarray, key: np.ndarray, ahead: np.ndarray, skip: np.ndarray, size: np.ndarray, body: np.ndarray, length: int) -> tuple[Level, np.ndarray]:
+        """The level of these contexts and which of its windows repeat each other."""
+        start = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+        n = size - length + 1
+        owner = np.repeat(np.arange(len(n)), n)
+        at = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+        new = Level(name, key, ahead, skip, start, body, Level.groups(key, ahead, owner, at), owner, at)
+        return new._ordered(np.argsort(new.group, kind="stable"), length)
+
+    @staticmethod
+    def groups(key: np.ndarray, ahead: np.ndarray, owner: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return (key[owner] & ~U64(255)) | ((ahead[owner] - at) & 255).astype(U64)
+
+    def _ordered(self, order: np.ndarray, length: int) -> tuple[Level, np.ndarray]:
+        """From an order by group to one by group and bytes; neighbours with `length` bytes in common repeat each other."""
+        group = self.group[order]
+        same = group[1:] == group[:-1]
+        repeats = np.zeros(len(order), bool)
+        many = np.flatnonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same])) if len(order) else order
+        cut = runs(group[many])
+        i = 0
+        while i < len(cut) - 1:  # whole groups, about WINDOWS_HELD windows
+            j = max(i + 1, int(np.searchsorted(cut, cut[i] + WINDOWS_HELD, "right")) - 1)
+            here = many[cut[i] : cut[j]]
+            text = self._strings(order[here], group[here], length)
+            by = np.argsort(text, kind="stable")  # finds the runs of levels in order already, and merges them
+            text = text[by]
+            twin = np.flatnonzero(text[1:] == text[:-1])
+            order[here] = order[here][by]
+            repeats[here[twin]] = True
+            repeats[here[twin + 1]] = True
+            i = j
+        return Level(self.name, self.key, self.ahead, self.skip, self.start, self.body, group, self.owner[order], self.at[order]), repeats
+
+    def _strings(self, windows: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
+        """Group and bytes of the windows as strings without zero bytes at their ends (UTF-8 has no byte 255)."""
+        begin = self.start[self.owner[windows]] + self.at[windows]
+        out = np.empty((len(windows), 8 + length), np.uint8)
+        out[:, :8] = group.astype(">u8").view(np.uint8).reshape(-1, 8)
+        out[:, 8:] = np.lib.stride_tricks.sliding_window_view(self.body, length)[begin]
+        out[:, 8:] += 1
+        return out.view(f"S{8 + length}")[:, 0]
+
+    def take(self, windows: np.ndarray) -> Level:
+        """Some of the windows, in order, with all contexts."""
+        return Level(*(getattr(self, c) for c in self.CONTEXTS), self.group[windows], self.owner[windows], self.at[windows])
+
+    def merged(self, other: Level, length: int) -> tuple[Level, np.ndarray]:
+        """Both levels as one, and which of its windows repeat each other; owners of the other's windows count on."""
+        contexts = [np.concatenate([getattr(self, c), getattr(other, c)]) for c in ("name", "key", "ahead", "skip")]
+        start = np.concatenate([self.start, other.start[1:] + self.start[-1]])
+        both = Level(*contexts, start, np.concatenate([self.body, other.body]), np.concatenate([self.group, other.group]), np.concatenate([self.owner, other.owner + len(self.name)]), np.concatenate([self.at, other.at]))
+        return both._ordered(np.argsort(both.group, kind="stable"), length)
+
+    def scanned(self, other: Level, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(name, skip and at as a window of the whole context) of both sides' windows that repeat, where groups meet."""
+        meet = lambda a, b: np.flatnonzero(b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a) if len(b) else np.zeros(0, np.int64)
+        here, there = self.take(meet(self.group, other.group)), other.take(meet(other.group, self.group))
+        if not len(here.group):
+            return np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        both, repeats = here.merged(there, length)
+        return both.marks(repeats)
+
+    def marks(self, repeats: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        own = self.owner[repeats]
+        return self.name[own], self.skip[own].astype(np.int64), self.at[repeats].astype(np.int64)
+
+    def save(self, folder: Folder, number: int, shard: int) -> None:
+        if not len(self.name):
             return
-        windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(text, length)[start]).view(f"S{length}")[:, 0]
-        family = IndexFamily(windows)  # equal windows have equal anchors, so contexts of several anchors can share it
-        turn = owner % BATCHES
-        for t in range(BATCHES):
-            family.add(np.flatnonzero(turn == t))
-        ends = np.searchsorted(owner, np.arange(len(members) + 1))
-        for i in np.unique(owner[family.repeats]):
-            at = np.flatnonzero(family.repeats[ends[i] : ends[i + 1]]) + ends[i]
-            out[members[i]][place[at]] = True
-
-    def flush() -> None:
-        if batch:
-            match(np.concatenate(batch), -(1 << 40), 1 << 40)
-
-    for g in groups:
-        n = int(count[g].sum())
-        if n > WINDOWS_HELD:  # a very frequent anchor: its windows by their place before it
-            step = max(1, int(WINDOWS_HELD / len(g)))
-            low, high = int((ahead[g] - count[g] + 1).min()), int(ahead[g].max()) + 1
-            for lo in range(low, high, step):
-                match(g, lo, min(lo + step, high))
-            continue
-        if held + n > WINDOWS_HELD:
-            flush()
-            batch, held = [], 0
-        batch.append(g)
-        held += n
-    flush()
+        for c in self.CONTEXTS + self.WINDOWS:
+            folder.save(f"level{number}.{c}-{shard}", getattr(self, c))
+
+    @staticmethod
+    def load(folder: Folder, number: int, shard: int) -> Level | None:
+        """Mapped, if the shard has such a level; integers as they are counted with."""
+        if folder.load(f"level{number}.name-{shard}") is None:
+            return None
+        wide = lambda c, x: np.asarray(x) if c in ("name", "key", "body") else np.asarray(x).astype(np.int64)
+        x = {c: wide(c, folder.load(f"level{number}.{c}-{shard}")) for c in Level.CONTEXTS + Level.WINDOWS}
+        return Level(**x, group=Level.groups(x["key"], x["ahead"], x["owner"], x["at"]))
+
+
+def levels_before(batch: int) -> list[tuple[int, int]]:
+    """(number, batches in it) of the levels that stand when a batch arrives, the latest last; a level has the number of its last batch."""
+    out: list[tuple[int, int]] = []
+    for b in range(batch):
+        n = 1
+        while out and out[-1][1] == n:
+            n += out.pop()[1]
+        out.append((b, n))
     return out
 
 
@@ -225,7 +282,7 @@ def build(docs: DataFrame, text: str, length: int, folder: Folder, bits: int) ->
         for b in pieces(batches, "_text"):
             buf, off = flat(b["_text"])
             long = np.diff(off) >= length
-            h = span_hash(prefix(buf), off[:-1][long], off[1:][long])
+            h = text_hashes(buf, off)[long]
             yield pa.RecordBatch.from_pydict({"h": h.view(np.int64), "row": b["_row"].to_numpy(zero_copy_only=False)[long]})
 
     def save_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,6 +294,7 @@ def build(docs: DataFrame, text: str, length: int, folder: Folder, bits: int) ->
 
     same = rows.mapInArrow(copies, "h long, row long").groupBy("h").agg(F.min("row").alias("row"), F.count("*").alias("n")).where("n > 1")
     _dealt(same.select(_shard("h", bits), "h", "row")).mapInArrow(save_copies, "n long").agg(F.sum("n")).first()
+    folder.seal()
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -251,13 +309,13 @@ def build(docs: DataFrame, text: str, length: int, folder: Folder, bits: int) ->
             yield from _blobs(bits, key[at], {"key": key[at], "name": name[at], "times": np.diff(np.append(at, len(key)))})
 
         for b in pieces(batches, "_text"):
-            c = Contexts(b["_text"], length)
-            c.take(_stands(c, b, folder, bits)[c.doc])
-            held.append((c.key, c.name))
-            n += len(c.key)
-            if n >= FLUSH:
-                yield from flush()
-                held, n = [], 0
+            for c in stretches(b["_text"], length):
+                c.take(_stands(c, b, folder, bits)[c.doc])
+                held.append((c.key, c.name))
+                n += len(c.key)
+                if n >= FLUSH:
+                    yield from flush()
+                    held, n = [], 0
         if n:
             yield from flush()
 
@@ -273,6 +331,7 @@ def build(docs: DataFrame, text: str, length: int, folder: Folder, bits: int) ->
             cut = runs(key)
             kinds = np.diff(cut)
             folder.save(f"mixed-{shard}", key[cut[:-1][kinds > 1]])  # anchors with different contexts
+            folder.save(f"kinds-{shard}", kinds[kinds > 1])
             whole = np.sort(name[times > 1])
             yield from _blobs(bits, whole, {"name": whole})
 
@@ -284,65 +343,124 @@ def build(docs: DataFrame, text: str, length: int, folder: Folder, bits: int) ->
 
     counted = _dealt(rows.mapInArrow(anchors, "shard int, key binary, name binary, times binary")).mapInArrow(count, "shard int, name binary")
     _dealt(counted).mapInArrow(save_whole, "n long").agg(F.sum("n")).first()
+    folder.seal()
+
+    columns = ("key", "name", "ahead", "skip", "size")
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[int, int, bytes]] = {}
+        held: dict[tuple[int, int], tuple[int, int, bytes]] = {}
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            name = np.fromiter(held.keys(), U64, len(held))
-            key = np.array([x[0] for x in held.values()], U64)
-            ahead = np.array([x[1] for x in held.values()], np.int64)
+            name, skip = (np.fromiter((x[i] for x in held), U64, len(held)) for i in (0, 1))
+            key, ahead = (np.array([x[i] for x in held.values()], t) for i, t in ((0, U64), (1, np.int64)))
             body = [x[2] for x in held.values()]
             order = np.argsort(key, kind="stable")
             shard = shard_of(key[order], bits)
             cut = runs(shard)
             col = lambda x: pa.array([low_planes(x[order[a:b]], 8) for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())
-            yield pa.RecordBatch.from_pydict({"shard": pa.array(shard[cut[:-1]], pa.int32()), "key": col(key), "name": col(name), "ahead": col(ahead), "size": col(np.array([len(x) for x in body], np.int64)), "body": pa.array([b"".join([body[i] for i in order[a:b]]) for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())})
+            numbers = dict(zip(columns, (key, name, ahead, skip, np.array([len(x) for x in body], np.int64)), strict=True))
+            yield pa.RecordBatch.from_pydict({"shard": pa.array(shard[cut[:-1]], pa.int32())} | {n: col(x) for n, x in numbers.items()} | {"body": pa.array([b"".join([body[i] for i in order[a:b]]) for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())})
 
         for b in pieces(batches, "_text"):
-            c = Contexts(b["_text"], length)
-            c.take(_stands(c, b, folder, bits)[c.doc])
-            keys, back = np.unique(c.key, return_inverse=True)
-            c.take(lookup(folder, bits, keys, (), "mixed")[0][back])
-            for name, key, first, last, anchor in zip(c.name.tolist(), c.key.tolist(), c.first.tolist(), c.last.tolist(), c.anchor.tolist(), strict=True):
-                if name not in held:
-                    held[name] = (key, anchor - first, c.buf[first : last + length].tobytes())
-                    size += last + length - first
-            if size >= FLUSH_BYTES:
-                yield from flush()
-                held, size = {}, 0
+            for c in stretches(b["_text"], length):
+                c.take(_stands(c, b, folder, bits)[c.doc])
+                keys, back = np.unique(c.key, return_inverse=True)
+                found, (kinds,) = lookup(folder, bits, keys, ("kinds",), "mixed")
+                c.take(found[back])
+                hot = (kinds > HOT)[back[found[back]]]
+                for name, key, first, last, anchor, many in zip(c.name.tolist(), c.key.tolist(), c.first.tolist(), c.last.tolist(), c.anchor.tolist(), hot.tolist(), strict=True):
+                    if (name, 0) in held:
+                        continue
+                    if not many:
+                        held[name, 0] = (key, anchor - first, c.buf[first : last + length].tobytes())
+                        size += last + length - first
+                        continue
+                    w = first
+                    while w <= last:  # windows up to the next multiple of PLACES before the anchor
+                        block = (anchor - w) // PLACES
+                        end = min(last, anchor - block * PLACES)
+                        held[name, w - first] = (int(mix(np.array([key + block + 1 & (1 << 64) - 1], U64))[0]), anchor - w, c.buf[w : end + length].tobytes())
+                        size += end + length - w
+                        w = end + 1
+                if size >= FLUSH_BYTES:
+                    yield from flush()
+                    held, size = {}, 0
         if held:
             yield from flush()
 
-    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, (key, name, ahead, sizes, body) in _grouped(batches, ("key", "name", "ahead", "size", "body")):
-            key, name, ahead, sizes = (_ints(x) for x in (key, name, ahead, sizes))
-            text, at = b"".join(body), np.concatenate([[0], np.cumsum(sizes.astype(np.int64))])
-            name, pick = np.unique(name, return_index=True)
-            key, ahead = key[pick], ahead[pick].astype(np.int64)
-            found = _match(key, ahead, [text[at[i] : at[i + 1]] for i in pick], length)
-            some = np.flatnonzero([f.any() for f in found])
-            if len(some):
-                mask = np.zeros((len(some), length), bool)
-                for m, i in zip(mask, some, strict=True):
-                    m[: len(found[i])] = found[i]
-                bytes_ = np.packbits(mask, axis=1)
-                shard = shard_of(name[some], bits)
-                for s in np.unique(shard):
-                    yield pa.RecordBatch.from_pydict({"shard": pa.array([s], pa.int32()), "name": pa.array([low_planes(name[some][shard == s], 8)]), "mask": pa.array([bytes_[shard == s].tobytes()])})
+    def index(batch: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for shard, (*numbers, body) in _grouped(batches, (*columns, "body")):
+                key, name, ahead, skip, size = (_ints(x) for x in numbers)
+                ahead, skip, size = (x.astype(np.int64) for x in (ahead, skip, size))
+                # a context that several map tasks have sent counts once
+                order = np.lexsort((skip, name))
+                new = np.ones(len(order), bool)
+                new[1:] = (name[order][1:] != name[order][:-1]) | (skip[order][1:] != skip[order][:-1])
+                pick = np.sort(order[new])
+                start = np.cumsum(size) - size
+                text = np.frombuffer(b"".join(body), np.uint8)
+                text = text[np.repeat(start[pick] - (np.cumsum(size[pick]) - size[pick]), size[pick]) + np.arange(size[pick].sum())]
+                level, repeats = Level.of(name[pick], key[pick], ahead[pick], skip[pick], size[pick], text, length)
+                found = [level.marks(repeats)]
+                standing = levels_before(batch)
+                merging, n = True, 1
+                for number, batches_in in reversed(standing):
+                    other = Level.load(folder, number, shard)
+                    merging = merging and batches_in == n
+                    n += batches_in * merging
+                    if other is None:
+                        continue
+                    if merging:
+                        level, repeats = other.merged(level, length)
+                        found.append(level.marks(repeats))
+                    else:
+                        found.append(level.scanned(other, length))
+                if batch + 1 < BATCHES:
+                    level.save(folder, batch, shard)
+                yield from _masks([np.concatenate(x) for x in zip(*found, strict=True)], bits, length)
+            give_back()
+
+        return run
 
     def save_masks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, (name, mask) in _grouped(batches, ("name", "mask")):
             name = _ints(name)
             mask = np.frombuffer(b"".join(mask), np.uint8).reshape(len(name), -1)
-            name, pick = np.unique(name, return_index=True)
-            folder.save(f"context-{shard}", name)
-            folder.save(f"mask-{shard}", mask[pick])
-            yield pa.RecordBatch.from_pydict({"n": pa.array([len(name)], pa.int64())})
-
-    sent = _dealt(rows.mapInArrow(contexts, "shard int, key binary, name binary, ahead binary, size binary, body binary"))
-    _dealt(sent.mapInArrow(match, "shard int, name binary, mask binary")).mapInArrow(save_masks, "n long").agg(F.sum("n")).first()
+            order = np.argsort(name, kind="stable")
+            at = runs(name[order])[:-1]
+            folder.save(f"context-{shard}", name[order][at])
+            folder.save(f"mask-{shard}", np.bitwise_or.reduceat(mask[order], at, axis=0))
+            yield pa.RecordBatch.from_pydict({"n": pa.array([len(at)], pa.int64())})
+
+    marks = f"{folder.uri}/marks"
+    schema = "shard int, " + ", ".join(f"{c} binary" for c in (*columns, "body"))
+    # levels of shards without new contexts merge like all others
+    every = rows.sparkSession.range(1 << bits).select(F.col("id").cast("int").alias("shard"), *[F.lit(b"").alias(c) for c in (*columns, "body")])
+    for batch in range(BATCHES):
+        some = rows.where(F.pmod(F.xxhash64("_row"), F.lit(BATCHES)) == batch)
+        sent = _dealt(some.mapInArrow(contexts, schema).unionByName(every))
+        sent.mapInArrow(index(batch), "shard int, name binary, mask binary").write.mode("append").parquet(marks)
+        folder.drop(f"level{n}." for n, _ in set(levels_before(batch)) - set(levels_before(batch + 1)))
+        folder.seal()
+    found = rows.sparkSession.read.schema("shard int, name binary, mask binary").parquet(marks)
+    _dealt(found).mapInArrow(save_masks, "n long").agg(F.sum("n")).first()
+    folder.seal()
+
+
+def _masks(marks: list[np.ndarray], bits: int, length: int) -> Iterator[pa.RecordBatch]:
+    """One row a shard: the names of the contexts with repeated windows, and a bit for each of their windows."""
+    name, skip, at = marks
+    names, back = np.unique(name, return_inverse=True)
+    if not len(names):
+        return
+    mask = np.zeros((len(names), length), bool)
+    mask[back, skip + at] = True
+    packed, shard = np.packbits(mask, axis=1), shard_of(names, bits)
+    cut = runs(shard)
+    for a, b in zip(cut[:-1], cut[1:], strict=True):
+        yield pa.RecordBatch.from_pydict({"shard": pa.array([shard[a]], pa.int32()), "name": pa.array([low_planes(names[a:b], 8)]), "mask": pa.array([packed[a:b].tobytes()])})
 
 
 def _shard(column: str, bits: int):
@@ -366,8 +484,8 @@ def _rows(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator
         yield int(shard), [np.concatenate([x[i] for x in held]) for i in range(len(names))]
 
 
-def removed_spans(c: Contexts, copies: np.ndarray, folder: Folder, bits: int, length: int) -> np.ndarray:
-    """Whether each byte of the slice is removed."""
+def removed(c: Contexts, copies: np.ndarray, folder: Folder, bits: int, length: int) -> np.ndarray:
+    """Whether each byte of the slice is removed, as far as its windows tell."""
     repeats = np.zeros(len(c.buf) + 1, np.int32)  # +1 where covered bytes begin, -1 behind them
     names, back = np.unique(c.name, return_inverse=True)
     whole = lookup(folder, bits, names, (), "whole")[0][back]
@@ -407,15 +525,16 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = 200, as_te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, text):
-            c = Contexts(b[text], length)
-            gone = removed_spans(c, _repeated(c, folder, bits), folder, bits, length)
-            off = c.off
+            buf, off = flat(b[text])
+            gone = np.zeros(len(buf), bool)
+            for c in stretches(b[text], length):
+                gone[c.shift : c.shift + len(c.buf)] |= removed(c, _repeated(c, folder, bits), folder, bits, length)
             edge = gone.copy()
             edge[1:] &= ~gone[:-1]
             edge[off[:-1][off[:-1] < len(gone)]] |= gone[off[:-1][off[:-1] < len(gone)]]
             total = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[off])
             if as_text:  # a character goes whole
-                lead = np.flatnonzero((c.buf & 0xC0) != 0x80)
+                lead = np.flatnonzero((buf & 0xC0) != 0x80)
                 if len(lead):
                     some = np.logical_or.reduceat(gone, lead)
                     kept = ~np.repeat(some, np.diff(np.append(lead, len(gone))))
@@ -424,7 +543,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = 200, as_te
             else:
                 kept = ~gone
             at = np.concatenate([[0], np.cumsum(kept)])[off]
-            data = c.buf[kept].tobytes()
+            data = buf[kept].tobytes()
             texts = [data[s:e] for s, e in zip(at[:-1], at[1:], strict=True)]
             cols = [b[f.name] if f.name != text else pa.array(texts, pa.binary()).cast(pa.string()) if as_text else pa.array(texts, pa.binary()) for f in kept_fields]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(np.diff(off)), pa.array(total(gone)), pa.array(total(edge)), pa.array([hashlib.sha256(t).hexdigest() for t in texts])], names=schema.names)
