@@ -1,11 +1,12 @@
 """Language identification by rank-order n-gram profiles (Cavnar and Trenkle, 1994).
 
-A text's letters fall into 47 classes (a-z after lower-casing, and 21 classes of other letters by code point); everything else is
-a word boundary. Its 1- to 3-grams within words, most frequent first, are compared with each language's by the sum of the
-distances of the ranks (out-of-place distance; a missing n-gram costs the profile's length).
+A text's words are its runs of letters, lower-cased one by one, with a boundary sign before and behind; accents and scripts stay as
+they are. Its 1- to 5-grams within words, most frequent first, are compared with each language's by the sum of the distances of the
+ranks (out-of-place distance; a missing n-gram costs the profile's length). N-grams are named by 63-bit hashes.
 
-Null texts and texts without letters get `und` and score 0. Ties between n-grams go to the lower n-gram code, ties between
-languages to the lower name. Repeated rows are judged alike. Without any labelled row every text gets `und`.
+Null texts and texts without letters get `und` and score 0. Ties between n-grams go to the lower hash, ties between languages to the
+lower name. Repeated rows are judged alike. Without any labelled row every text gets `und`. Empty tables give empty results. Columns
+of the names put out are replaced, all others pass through.
 """
 
 from __future__ import annotations
@@ -19,53 +20,79 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gavelframe.llm._store import small_batches
-from gavelframe.llm._text import codepoints, pieces
+from gavelframe.llm._text import U64, codepoints, mix, pieces
 
-CLASSES = 48
-SPACE_SIZE = CLASSES + CLASSES**2 + CLASSES**3
+LONGEST = 5
+MULTIPLIER = 0x9E3779B97F4A7C15
+COUNTED = 2_000_000  # n-grams that a map task holds before it counts them
 _TABLE: np.ndarray | None = None
 
 
-def letter_classes() -> np.ndarray:
-    """Class of each code point: 0 for what is no letter."""
+def letters() -> np.ndarray:
+    """The lower-case letter of each code point, 0 for what is no letter."""
     global _TABLE
     if _TABLE is None:
-        t = np.zeros(0x110000, np.uint8)
-        for c in range(0x32000):  # the planes above hold no letters
+        t = np.zeros(0x32000, np.uint32)  # the planes above hold no letters
+        for c in range(len(t)):
             s = chr(c)
             if s.isalpha():
-                low = ord(s.lower()[0])
-                t[c] = low - 96 if 97 <= low <= 122 else 27 + low * 2654435761 % 2**32 % 21
+                t[c] = ord(s.lower()[0])
         _TABLE = t
     return _TABLE
 
 
 def ngram_codes(column: pa.Array) -> Iterator[np.ndarray]:
-    """For each text the codes of its 1- to 3-grams within words, repeats included."""
+    """For each text the hashes of its n-grams within words, repeats included."""
     cps, off = codepoints(column)
-    c = letter_classes()[np.minimum(cps, 0x10FFFF)].astype(np.int32)
-    c = np.insert(c, off[:-1], 0) if len(c) else np.zeros(len(off) - 1, np.int32)
-    c = np.append(c, 0)
-    off = off + np.arange(len(off))
-    mid = np.flatnonzero(c)
-    left, own, right = c[mid - 1], c[mid], c[mid + 1]
-    one, two, three = own, CLASSES + own * CLASSES + right, CLASSES + CLASSES**2 + (left * CLASSES + own) * CLASSES + right
-    first = np.where(left == 0, CLASSES + own, 0)  # the bigram of a boundary and a letter
-    cut = np.searchsorted(mid, off)
-    for s, e in zip(cut[:-1], cut[1:], strict=True):
-        f = first[s:e]
-        yield np.concatenate([one[s:e], two[s:e], three[s:e], f[f > 0]])
+    table = letters()
+    c = np.where(cps < len(table), table[np.minimum(cps, len(table) - 1)], 0).astype(U64)
+    owner = np.repeat(np.arange(len(off) - 1), np.diff(off))
+    # a boundary stands before each text and in place of each run of other characters
+    c, owner = np.insert(c, off[:-1], 0), np.insert(owner, off[:-1], np.arange(len(off) - 1))
+    keep = c > 0
+    keep[1:] |= c[:-1] > 0
+    if len(keep):
+        keep[0] = True
+    c, owner = np.append(c[keep], U64(0)), np.append(owner[keep], len(off) - 1)
+    has = c > 0
+    parts, cuts = [], []
+    c = c + U64(1)  # a boundary in front must count
+    h, inner = c, None
+    for n in range(1, LONGEST + 1):
+        if n == 1:
+            ok = has
+        else:
+            h = h[:-1] * U64(MULTIPLIER) + c[n - 1 :]
+            inner = np.ones(len(h), bool) if n == 2 else inner[:-1] & has[n - 2 : len(has) - 1]
+            ok = inner & (has[: len(h)] | has[1 : len(h) + 1])
+        at = np.flatnonzero(ok)
+        parts.append(mix(h[at] + U64(n)) >> U64(1))  # as positive long integers
+        own = owner[np.minimum(at + ~has[at], len(owner) - 1)]  # of the n-gram's first letter
+        cuts.append(np.searchsorted(own, np.arange(len(off))))
+    for i in range(len(off) - 1):
+        yield np.concatenate([p[k[i] : k[i + 1]] for p, k in zip(parts, cuts, strict=True)])
+
+
+def counted(codes: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct codes in order, how often each occurs)."""
+    if times is None:
+        codes = np.sort(codes)
+    else:
+        order = np.argsort(codes)
+        codes, times = codes[order], times[order]
+    at = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.zeros(0, np.int64)
+    return codes[at], np.diff(np.append(at, len(codes))) if times is None else np.add.reduceat(times, at) if len(at) else times
 
 
 def ranked(codes: np.ndarray, length: int) -> np.ndarray:
     """The most frequent codes, ties by code."""
-    counts = np.bincount(codes, minlength=1)
-    have = np.flatnonzero(counts)
-    key = counts[have].astype(np.int64) * (1 << 18) + ((1 << 18) - 1 - have)
-    if len(key) > length:
-        keep = np.argpartition(key, len(key) - length)[-length:]
-        have, key = have[keep], key[keep]
-    return have[np.argsort(-key)]
+    have, times = counted(codes)
+    if len(have) > length:
+        least = np.partition(times, len(times) - length)[-length]
+        more, same = np.flatnonzero(times > least), np.flatnonzero(times == least)
+        keep = np.sort(np.concatenate([more, same[: length - len(more)]]))
+        have, times = have[keep], times[keep]
+    return have[np.argsort(-times, kind="stable")]
 
 
 def fit_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", max_docs: int = 2000, length: int = 500) -> dict[str, list[int]]:
@@ -79,19 +106,27 @@ def fit_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id
     sample = rows.join(share, "lang").where(F.col("u") < F.col("share") * 1_000_003).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, np.ndarray] = {}
+        held: dict[str, list[np.ndarray]] = {}
+        n = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for name, codes in held.items():
+                have, times = counted(np.concatenate(codes))
+                yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(have), pa.string()), "code": have.view(np.int64), "n": times})
+
         for b in pieces(batches, "text"):
             for name, codes in zip(b["lang"].to_pylist(), ngram_codes(b["text"]), strict=True):
-                have = total.setdefault(name, np.zeros(SPACE_SIZE, np.int64))
-                have += np.bincount(codes, minlength=SPACE_SIZE)
-        for name, have in total.items():
-            at = np.flatnonzero(have)
-            yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(at), pa.string()), "code": at, "n": have[at]})
-
-    counted = sample.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+                held.setdefault(name, []).append(codes)
+                n += len(codes)
+            if n >= COUNTED:
+                yield from flush()
+                held, n = {}, 0
+        yield from flush()
+
+    sums = sample.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
     out: dict[str, list[int]] = {}
-    for r in counted.withColumn("r", rank).where(F.col("r") <= length).orderBy("lang", "r").collect():
+    for r in sums.withColumn("r", rank).where(F.col("r") <= length).orderBy("lang", "r").collect():
         out.setdefault(r["lang"], []).append(r["code"])
     return out
 
@@ -100,25 +135,27 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text",
     """The rows with lang_pred and score, or names_out: one less the best profile's share of the greatest possible distance."""
     small_batches(docs.sparkSession)
     names = sorted(profiles)
-    rank = np.full((len(names), SPACE_SIZE), -1, np.int32)
+    known = np.array(sorted({c for p in profiles.values() for c in p}), np.int64)
+    rank = np.full((len(names), len(known) + 1), -1, np.int32)  # the last column: n-grams of no profile
     for i, n in enumerate(names):
-        rank[i, profiles[n]] = np.arange(len(profiles[n]))
+        rank[i, np.searchsorted(known, np.array(profiles[n], np.int64))] = np.arange(len(profiles[n]))
     kept = [c for c in docs.columns if c not in names_out]
     docs = docs.select(*kept)
-    table = docs.sparkSession.sparkContext.broadcast(rank)  # 0.45 MB a language
+    table = docs.sparkSession.sparkContext.broadcast((known, rank))  # 12 bytes for each n-gram of a profile, and 4 for each other language
     schema = T.StructType([*docs.schema.fields, T.StructField(names_out[0], T.StringType()), T.StructField(names_out[1], T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = table.value
+        known, ranks = table.value
         for b in pieces(batches, text):
             pred, score = [], []
             for codes in ngram_codes(b[text]):
-                top = ranked(codes, length)
+                top = ranked(codes, length).view(np.int64)
                 if not len(top) or not names:
                     pred.append("und")
                     score.append(0.0)
                     continue
-                theirs = ranks[:, top]
+                at = np.minimum(np.searchsorted(known, top), max(len(known) - 1, 0))
+                theirs = ranks[:, np.where(known[at] == top, at, len(known))]
                 far = np.where(theirs < 0, length, np.minimum(np.abs(theirs - np.arange(len(top))), length)).sum(axis=1)
                 best = int(far.argmin())
                 pred.append(names[best])
