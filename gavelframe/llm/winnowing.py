@@ -1,13 +1,16 @@
 """Document fingerprints by winnowing (Schleimer, Wilkerson and Aiken, 2003), with DataFrame functions only.
 
 Tokens are runs of up to 12 characters that are no white space; a longer run has one for each 12 neighbouring characters, so that
-what is put in or left out changes only tokens near it, in scripts without spaces too. Each k tokens have a hash, rolled up from the hashes of their
-halves; of every w neighbours the smallest is chosen, the rightmost of equal ones, and kept with its position. Two texts that
-share k + w - 1 tokens in a row (within a long run k + w + 10 characters) share a chosen hash, and no hash of fewer than k shared
-tokens counts.
-
-Null and empty texts, and texts of white space alone, have an empty fingerprint; two empty fingerprints are alike (1), an empty
-and another one are not (0). Texts of fewer than k tokens have one hash of all of them. Positions count tokens, up to 2**28.
+what is put in or left out changes only tokens near it, in scripts without spaces too. Each k tokens t1..tk have the Rabin-Karp hash
+(t1 * BASE**(k-1) + ... + tk) mod PRIME of their tokens' hashes. Rolling it along by one token takes the last hash along; as arrays
+have no running state, the same numbers are rolled up here by doubling: the hash of 2n tokens is that of the first n times BASE**n
+plus that of the next n. Mixed to 36 bits, of every w neighbours the smallest is chosen, the rightmost of equal ones, and kept with
+its position. Two texts that share k + w - 1 tokens in a row (within a long run k + w + 10 characters) share a chosen hash, and no
+hash of fewer than k shared tokens counts.
+
+Null and empty texts, texts of white space alone and empty tables have empty fingerprints; two empty fingerprints are alike (1), an
+empty and another one are not (0). Texts of fewer than k tokens have one hash of all of them. Positions count tokens, up to 2**28.
+Repeated rows have equal fingerprints. Extra columns pass through; with_next() replaces its own names only.
 """
 
 from __future__ import annotations
@@ -22,6 +25,8 @@ K, W = 4, 4
 TOKEN = r"(?=(\S{1,12}))(?:\S{1,12}+(?!\S)|\S)"
 POSITION_BITS = 28
 MASK = (1 << POSITION_BITS) - 1
+#: a product of a hash and the base stays below 2**62
+PRIME, BASE = (1 << 45) - 55, 130_003
 
 
 def let(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -35,25 +40,27 @@ def _neighbours(a: Column, step: int, f: Callable[[Column, Column], Column]) ->
     return F.zip_with(F.slice(a, F.lit(1), n), F.slice(a, F.lit(step + 1), n), f)
 
 
-def _windows(a: Column, width: int, f: Callable[[Column, Column], Column]) -> Column:
-    """f over every `width` neighbours, by doubling; width must be a power of 2."""
-    out, step = a, 1
-    if width == 1:
-        return out
-    return let(_neighbours(a, 1, f), lambda x: _doubled(x, 2, width, f)) if width > step * 2 else _neighbours(a, 1, f)
+def _windows(a: Column, width: int, f: Callable[[Column, Column, int], Column], step: int = 1) -> Column:
+    """f(left half, right half, their width) over every `width` neighbours, by doubling; width must be a power of 2."""
+    if step == width:
+        return a
+    now = _neighbours(a, step, lambda x, y: f(x, y, step))
+    return now if step * 2 == width else let(now, lambda x: _windows(x, width, f, step * 2))
 
 
-def _doubled(a: Column, step: int, width: int, f: Callable[[Column, Column], Column]) -> Column:
-    now = _neighbours(a, step, f)
-    return now if step * 2 == width else let(now, lambda x: _doubled(x, step * 2, width, f))
+def _rolled(left: Column, right: Column, step: int) -> Column:
+    """The hash of both halves: left * BASE**step + right."""
+    for _ in range(step):
+        left = left * F.lit(BASE) % F.lit(PRIME)
+    return (left + right) % F.lit(PRIME)
 
 
 def fingerprint(text: Column, k: int = K, w: int = W) -> Column:
     """array<bigint>, in order of position: hash in the upper 36 bits, 2**28 - 1 - position in the lower ones. k and w are powers of 2."""
-    hashes = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(1)), lambda t: F.xxhash64(t))
-    grams = lambda h: F.when(F.size(h) > k - 1, _windows(h, k, lambda a, b: F.xxhash64(a, b))).when(F.size(h) > 0, F.array(F.xxhash64(h))).otherwise(F.array().cast("array<bigint>"))
-    packed = lambda g: F.transform(g, lambda x, i: x.bitwiseAND(F.lit(~MASK)).bitwiseOR(F.lit(MASK) - i.cast("bigint").bitwiseAND(F.lit(MASK))))
-    least = lambda p: F.when(F.size(p) >= w, _windows(p, w, lambda a, b: F.least(a, b))).when(F.size(p) > 0, F.array(F.array_min(p))).otherwise(p)
+    hashes = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(1)), lambda t: F.pmod(F.xxhash64(t), F.lit(PRIME)))
+    grams = lambda h: F.when(F.size(h) > k - 1, _windows(h, k, _rolled)).when(F.size(h) > 0, F.array(F.xxhash64(h))).otherwise(F.array().cast("array<bigint>"))
+    packed = lambda g: F.transform(g, lambda x, i: F.xxhash64(x).bitwiseAND(F.lit(~MASK)).bitwiseOR(F.lit(MASK) - i.cast("bigint").bitwiseAND(F.lit(MASK))))
+    least = lambda p: F.when(F.size(p) >= w, _windows(p, w, lambda a, b, _: F.least(a, b))).when(F.size(p) > 0, F.array(F.array_min(p))).otherwise(p)
     return let(hashes, lambda h: let(grams(h), lambda g: let(packed(g), lambda p: F.array_distinct(least(p)))))
 
 
@@ -100,22 +107,23 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", add:
     found = ids.agg(F.percentile_approx("k", [i / n for i in range(1, n)], 20 * n)).first()[0] or []
     bounds = sorted(set(found))
     heads = [(r["b"], r["k"]) for r in ids.groupBy(range_bucket(F.col("k"), bounds).alias("b")).agg(F.max("k").alias("k")).orderBy("b").collect()]
-    ranged = docs.withColumn("_k", key).withColumn("_b", range_bucket(F.col("_k"), bounds))
+    add = add or {}
+    ranged = docs.select(F.struct(*docs.columns).alias("row"), key.alias("k"), range_bucket(key, bounds).alias("b"))
     if heads:
-        above = [(k, heads[(i + 1) % len(heads)][0], int(i == len(heads) - 1)) for i, (_, k) in enumerate(heads)]
-        see = F.broadcast(spark.createDataFrame(above, "_k bigint, _above int, _last int"))
-        ranged = ranged.join(see, "_k", "left")
-        both = F.when(F.col("_above").isNull(), F.array(F.struct(F.col("_b").alias("b"), F.lit(0).alias("s")))).otherwise(F.array(F.struct(F.col("_b").alias("b"), F.lit(0).alias("s")), F.struct(F.col("_above").alias("b"), F.lit(1).alias("s"))))
-        ranged = ranged.withColumn("_to", F.explode(both)).drop("_above", "_last")
+        above = [(k, heads[(i + 1) % len(heads)][0]) for i, (_, k) in enumerate(heads)]
+        ranged = ranged.join(F.broadcast(spark.createDataFrame(above, "k bigint, above int")), "k", "left")
     else:
-        ranged = ranged.withColumn("_to", F.struct(F.lit(0).alias("b"), F.lit(0).alias("s")))
-    dealt = ranged.withColumn("_b", F.col("_to.b")).withColumn("_seen", F.col("_to.s")).drop("_to").repartition("_b")
-    for name, c in (add or {}).items():
-        dealt = dealt.withColumn(name, c)
-    w = Window.partitionBy("_b").orderBy("_seen", F.desc("_k"), F.xxhash64(text))
-    for name in (text, *(add or {})):
-        dealt = dealt.withColumn(f"_next_{name}", F.lead(name).over(w))
-    return dealt.where("_seen = 0").drop("_k", "_b", "_seen")
+        ranged = ranged.withColumn("above", F.lit(None).cast("int"))
+    own, other = F.struct(F.col("b"), F.lit(0).alias("seen")), F.struct(F.col("above").alias("b"), F.lit(1).alias("seen"))
+    to = F.explode(F.when(F.col("above").isNull(), F.array(own)).otherwise(F.array(own, other)))
+    dealt = ranged.select("row", "k", to.alias("to")).select("row", "k", "to.b", "to.seen").repartition("b")
+    # the added columns are made after the shuffle, in the row's own names
+    placed = dealt.select(F.struct("k", "b", "seen").alias("__at"), "row.*")
+    with_added = placed.select("__at", *[c for c in docs.columns if c not in add], *[c.alias(n) for n, c in add.items()])
+    w = Window.partitionBy("__at.b").orderBy("__at.seen", F.desc("__at.k"), F.xxhash64(text))
+    nexts = [f"_next_{n}" for n in (text, *add)]
+    kept = [c for c in with_added.columns if c not in nexts]
+    return with_added.select(*kept, *[F.lead(n).over(w).alias(f"_next_{n}") for n in (text, *add)]).where("__at.seen = 0").drop("__at")
 
 
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
