@@ -128,13 +128,76 @@ def test_suffix_dedup(docs, rows):
     assert [c for c in whole.columns if not c.startswith("__")] == docs.columns and whole.count() == len(rows)
 
 
-def test_index_family_merges():
-    words = np.array([b"a", b"b", b"a", b"c", b"d", b"e", b"c", b"f"], "S1")
-    family = suffix_dedup.IndexFamily(words)
-    for i in range(0, 8, 2):
-        family.add(np.arange(i, i + 2))
-    assert [n for n, _ in family.levels] == [4]
-    assert family.repeats.tolist() == [True, False, True, True, False, False, True, False]
+def test_levels_merge_geometrically():
+    assert [suffix_dedup.levels_before(b) for b in range(5)] == [[], [(0, 1)], [(1, 2)], [(1, 2), (2, 1)], [(3, 4)]]
+
+
+def test_levels_find_what_repeats(monkeypatch):
+    """Windows of several batches through scans and merges, against a count of all of them; groups of one window are never compared."""
+    monkeypatch.setattr(suffix_dedup, "WINDOWS_HELD", 3)
+    rng, length = random.Random(4), 40
+    parts = ["".join(rng.choice("ab") for _ in range(length)) for _ in range(6)]
+    contexts = [(rng.choice((5 << 32, 9 << 32)), (rng.choice(parts) + rng.choice(parts))[: length + rng.randrange(20)].encode()) for _ in range(60)]
+    level = lambda cs, first: suffix_dedup.Level.of(np.arange(first, first + len(cs)).astype(np.uint64), np.array([k for k, _ in cs], np.uint64), np.full(len(cs), 30), np.zeros(len(cs), np.int64), np.array([len(x) for _, x in cs]), np.frombuffer(b"".join(x for _, x in cs), np.uint8), length)
+    marked = lambda x: {(int(n), int(w)) for n, _, w in zip(*x)}
+    a, ra = level(contexts[:20], 0)
+    b, rb = level(contexts[20:45], 20)
+    c, rc = level(contexts[45:], 45)
+    ab, rab = a.merged(b, length)
+    got = marked(a.marks(ra)) | marked(b.marks(rb)) | marked(c.marks(rc)) | marked(ab.marks(rab)) | marked(ab.scanned(c, length))
+    windows = [(n, w, (k, 30 - w, x[w : w + length])) for n, (k, x) in enumerate(contexts) for w in range(len(x) - length + 1)]
+    times = Counter(x for _, _, x in windows)
+    assert got == {(n, w) for n, w, x in windows if times[x] > 1} and 0 < len(got) < len(windows)
+    text = [(int(g), bytes(ab.body[ab.start[o] + w : ab.start[o] + w + length])) for g, o, w in zip(ab.group, ab.owner, ab.at)]
+    assert text == sorted(text)
+
+
+@pytest.mark.parametrize(("hot", "stretch"), [(4096, 1 << 20), (1, 300)])
+def test_suffix_dedup_of_hot_anchors_and_stretches(spark, monkeypatch, hot, stretch):
+    """Many contexts of one anchor, and texts that are read in many stretches, against brute force."""
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "STRETCH", stretch)
+    rng = random.Random(11)
+    line = "".join(rng.choice("abcdefgh ") for _ in range(150))
+    word = lambda n: "".join(rng.choice("ijklmnoé") for _ in range(n))
+    near = [word(60) for _ in range(5)]
+    data = [rng.choice(near) + line + rng.choice(near) + word(rng.randrange(700)) for _ in range(40)] + ["ab" * 900, word(2000)]
+    df = spark.createDataFrame(list(enumerate(data)), "doc_id long, text string").repartition(3)
+    raw = [t.encode() for t in data]
+    seen = Counter(d[i : i + 200] for d in raw for i in range(len(d) - 199))
+    want = {}
+    for n, d in enumerate(raw):
+        gone = np.zeros(len(d), bool)
+        for i in range(len(d) - 199):
+            if seen[d[i : i + 200]] > 1:
+                gone[i : i + 200] = True
+        want[n] = (int(gone.sum()), hashlib.sha256(bytes(b for b, g in zip(d, gone) if not g)).hexdigest())
+    assert {r.doc_id: (r.n_removed, r.kept_sha256) for r in suffix_dedup.remove_repeats(df, digest_only=True).collect()} == want
+
+
+def test_suffix_dedup_of_a_very_long_text(spark):
+    rng = random.Random(2)
+    passage = "".join(rng.choice("abcdefghij ") for _ in range(1000))
+    long = np.random.default_rng(3).integers(97, 123, 70_000_000).astype(np.uint8).tobytes().decode()
+    data = [passage + long + passage, "short " + passage]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.remove_repeats(spark.createDataFrame(list(enumerate(data)), "doc_id long, text string"), digest_only=True).collect()}
+    assert got == {0: (70_002_000, 2000, 2, hashlib.sha256(long.encode()).hexdigest()), 1: (1006, 1000, 1, hashlib.sha256(b"short ").hexdigest())}
+
+
+def test_a_lost_store_file_is_an_error(spark, docs):
+    import glob
+    import os
+
+    model = kneser_ney.fit(docs)
+    kneser_ney.score(docs, model).count()
+    files = sorted(glob.glob(f"{model.folder.path}/key2-*.npy"))
+    os.remove(files[len(files) // 2])
+    with pytest.raises(Exception, match="has lost its file"):
+        kneser_ney.score(docs, model).agg(F.sum("score")).collect()
+    whole = kneser_ney.fit(docs)
+    os.remove(f"{whole.folder.path}/manifest-1.json")
+    with pytest.raises(Exception, match="manifest-1.json"):
+        kneser_ney.score(docs.withColumn("again", F.lit(1)), whole).agg(F.sum("score")).collect()
 
 
 @pytest.mark.parametrize("blocks", [4096, 7])
@@ -176,6 +239,58 @@ def test_sentencepiece_is_the_library(spark, docs, rows):
     assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:])] == [sp.encode(t) for t in hard]
 
 
+def test_sentencepiece_of_long_units(monkeypatch):
+    """Text without spaces, in stretches and whole, and five MB of it."""
+    import time
+
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_bpe.MODEL)
+    bpe = sentencepiece_bpe.Bpe.read(open(sentencepiece_bpe.MODEL, "rb").read())
+    rng = random.Random(1)
+    hard = ["".join(rng.choice("abtheillion\n\tèñ漢🙂.,01_▁\x00") for _ in range(n)) for n in (300, 511, 513, 3000, 9000)] + ["a" * 3000, "the" * 900, "ha" * 2000 + "漢字" * 500, " " * 2000, "x " + "y" * 5000 + " z"]
+    monkeypatch.setattr(sentencepiece_bpe, "AT_ONCE", 1000)
+    ids, off = bpe.encode(pa.array(hard))
+    assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:])] == [sp.encode(t) for t in hard]
+    monkeypatch.undo()
+    big = "".join(rng.choice("acgtthequickbrown") for _ in range(5_000_000))
+    began = time.perf_counter()
+    ids, off = bpe.encode(pa.array([big]))
+    assert time.perf_counter() - began < 180 and ids.tolist() == sp.encode(big)
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_kneser_ney_orders(docs, rows, order):
+    """Each order against counts of whole n-grams."""
+    tokens = lambda t: ["<s>"] * (order - 1) + WORD.findall((t or "").translate(ASCII)) + ["</s>"]
+    model = kneser_ney.fit(docs.where("score % 3 <> 1"), order=order)
+    grams = [Counter() for _ in range(order + 1)]
+    for r in rows:
+        if r.score % 3 != 1:
+            t = tokens(r.text)
+            grams[order].update(tuple(t[i - order + 1 : i + 1]) for i in range(order - 1, len(t)))
+    for m in range(order - 1, 0, -1):
+        grams[m] = Counter(g[1:] for g in grams[m + 1])
+    cuts = [None] + [kneser_ney.discounts([Counter(c.values())[i] for i in range(1, 5)]) for c in grams[1:]]
+    types, n_words = sum(grams[1].values()), len(grams[1])
+    cut = lambda n, m: n - (cuts[m][min(n, 3) - 1] if n else 0)
+    rest = sum(cuts[1][min(n, 3) - 1] for n in grams[1].values()) / types
+    behind = [defaultdict(list) for _ in range(order + 1)]
+    for m in range(2, order + 1):
+        for g, n in grams[m].items():
+            behind[m][g[:-1]].append(n)
+
+    def p(g):
+        m = len(g)
+        if m == 1:
+            return cut(grams[1][g], 1) / types + rest / (n_words + 1)
+        ns = behind[m].get(g[:-1])
+        return p(g[1:]) if not ns else cut(grams[m][g], m) / sum(ns) + sum(cuts[m][min(n, 3) - 1] for n in ns) / sum(ns) * p(g[1:])
+
+    want = sorted((r.doc_id is None, r.doc_id or 0, round(sum(math.log10(p(tuple(t[i - order + 1 : i + 1]))) for i in range(order - 1, len(t))), 6)) for r in rows for t in [tokens(r.text)])
+    assert sorted((r.doc_id is None, r.doc_id or 0, round(r.score, 6)) for r in kneser_ney.score(docs, model).collect()) == want
+
+
 def test_kneser_ney(docs, rows):
     train = docs.where("score % 3 <> 1")
     model = kneser_ney.fit(train)
@@ -222,6 +337,40 @@ def test_langid(spark):
     assert all(0 <= r.score <= 1 for r in out)
 
 
+def test_langid_is_rank_order(spark, docs, rows):
+    """Profiles, ranks and distances against a plain version on strings of letters."""
+
+    def code(gram):
+        h, m = 0, (1 << 64) - 1
+        for c in gram:
+            h = (h * langid.MULTIPLIER + (ord(c) if c != "|" else 0) + 1) & m
+        return int(langid.mix(np.array([(h + len(gram)) & m], np.uint64))[0]) >> 1
+
+    def grams(text):
+        words = re.findall(r"\w+", "".join(c.lower()[0] if c.isalpha() else " " for c in text or ""))
+        return [f"|{w}|"[i : i + n] for w in words for n in range(1, 6) for i in range(len(w) + 3 - n) if f"|{w}|"[i : i + n] != "|"]
+
+    def top(count, length):
+        return [c for _, c in sorted((-n, code(g)) for g, n in count.items())[:length]]
+
+    length = 60
+    profiles = langid.fit_profiles(docs, length=length)
+    learned = defaultdict(Counter)
+    for r in rows:
+        if r.lang is not None and r.text is not None:
+            learned[r.lang].update(grams(r.text))
+    assert profiles == {lang: top(c, length) for lang, c in learned.items()}
+    want = []
+    for r in rows:
+        mine = top(Counter(grams(r.text)), length)
+        far = {lang: sum(min(abs(p.index(c) - i), length) if c in p else length for i, c in enumerate(mine)) for lang, p in profiles.items()}
+        best = min(sorted(far), key=far.get)
+        want.append((r.doc_id, best, round(1 - far[best] / (length * len(mine)), 9)) if mine else (r.doc_id, "und", 0.0))
+    got = langid.predict(docs, profiles, length=length).collect()
+    assert Counter((r.doc_id, r.lang_pred, round(r.score, 9)) for r in got) == Counter(want)
+    assert "lang_pred" in got[0] and len({r.score for r in got}) > 20 and code("é") != code("è")
+
+
 def test_langid_edges(spark, docs):
     profiles = langid.fit_profiles(docs)
     odd = spark.createDataFrame([(1, None, 0.5), (2, "", 0.5), (3, "123 !? 漢字 x", 0.5), (4, "12 .", 0.5)], "id int, text string, score double")
@@ -245,6 +394,59 @@ def test_winnowing(spark, docs, rows):
     shared = [set(r.h) for r in got if r.text and "new3" in r.text or r.text and "new4" in r.text]
     assert shared[0] & shared[1]
     assert winnowing.with_next(docs.limit(0)).count() == 0
+    clash = docs.select("doc_id", "text", *[F.lit(i).alias(c) for i, c in enumerate(("_k", "_b", "_seen", "_to", "k", "b", "seen", "above", "row"))])
+    assert winnowing.with_next(clash).columns == [*clash.columns, "_next_text"] and {tuple(r)[2:-1] for r in winnowing.with_next(clash).collect()} == {tuple(range(9))}
+
+
+def plain_fingerprint(h, k=winnowing.K, w=winnowing.W):
+    """(hash, position) chosen from the tokens' hashes by a hash rolled along and a scan of each window."""
+    from pyspark.sql import SparkSession
+
+    if not h:
+        return []
+    if len(h) < k:
+        return None  # one hash of all, checked elsewhere
+    prime, base = winnowing.PRIME, winnowing.BASE
+    rolled = [sum(x * pow(base, k - 1 - i, prime) for i, x in enumerate(h[:k])) % prime]
+    for i in range(k, len(h)):
+        rolled.append(((rolled[-1] - h[i - k] * pow(base, k - 1, prime)) * base + h[i]) % prime)
+    spark = SparkSession.getActiveSession()
+    mixed = [r.m for r in spark.createDataFrame([(i, x) for i, x in enumerate(rolled)], "i int, x long").select("i", F.shiftright(F.xxhash64("x"), winnowing.POSITION_BITS).alias("m")).orderBy("i").collect()]
+    out = []
+    for i in range(max(1, len(mixed) - w + 1)):
+        best = min(enumerate(mixed[i : i + w], i), key=lambda x: (x[1], -x[0]))
+        if not out or out[-1] != (best[1], best[0]):
+            out.append((best[1], best[0]))
+    return out
+
+
+def test_winnowing_query_is_brute_force(spark, tmp_path):
+    """Fingerprints, edited texts, digests and likenesses of the query, each computed another way."""
+    data = [(i, t) for i, t in enumerate(texts(8, 14))] + [(100, "".join(random.Random(3).choice("acgt") for _ in range(90))), (101, "eins zwei"), (102, "🙂é" * 9)]
+    spark.createDataFrame(data, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    order = sorted(((i, t or "") for i, t in data), reverse=True)
+    edited = {}
+    for n, (i, t) in enumerate(order):
+        half = len(t) // 2
+        edited[i] = t[: len(t) - half] + order[(n + 1) % len(order)][1][:half]
+    every = {t for _, t in order} | set(edited.values())
+    tokens = {t: [x for run in re.findall(r"[^ \t\n\x0b\f\r]+", t) for x in [run[i : i + 12] for i in range(max(1, len(run) - 11))]] for t in every}
+    words = sorted({x for xs in tokens.values() for x in xs})
+    hashed = dict(spark.createDataFrame([(x,) for x in words], "x string").select("x", F.pmod(F.xxhash64("x"), F.lit(winnowing.PRIME))).collect())
+    fp = winnowing.fingerprint(F.col("t"))
+    made = {r.t: (list(zip(r.h, r.p)), r.d) for r in spark.createDataFrame([(t,) for t in every], "t string").select("t", winnowing.hashes(fp).alias("h"), winnowing.positions(fp).alias("p"), winnowing.digest(fp).alias("d")).collect()}
+    for t in every:
+        want = plain_fingerprint([hashed[x] for x in tokens[t]])
+        assert made[t][0] == want if want is not None else len(made[t][0]) == 1
+    like = lambda a, b: 1.0 if not a and not b else len(a & b) / len(a | b)
+    sets = {t: {h for h, _ in made[t][0]} for t in every}
+    got = {r.doc_id: r for r in winnowing.op6_winnowing(spark, str(tmp_path)).collect()}
+    assert len(got) == len(data)
+    for n, (i, t) in enumerate(order):
+        r, after = got[i], order[(n + 1) % len(order)][1]
+        assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(edited[i].encode()).hexdigest())
+        assert (r.fingerprint, r.edited_fingerprint) == (made[t][1], made[edited[i]][1])
+        assert math.isclose(r.near_edited, like(sets[t], sets[edited[i]])) and math.isclose(r.near_next, like(sets[t], sets[after]))
 
 
 def test_winnowing_takes_the_rightmost(spark):
@@ -322,12 +524,58 @@ def test_mixing(spark, docs):
 
 def test_split_tree():
     quotas = np.array([7, 0, 1000, 33])
-    out = mixing.split_tree(quotas, 16, 1)
+    pools = [np.arange(20), np.arange(5), np.arange(1000), np.arange(64)]
+    leaves = mixing.split_tree(quotas, pools, 16, 1)
+    out = np.array([[len(drawn) for drawn, _ in leaf] for leaf in leaves])
     assert (out.sum(axis=0) == quotas).all() and out.sum(axis=1).max() - out.sum(axis=1).min() <= 4
+    for i, p in enumerate(pools):  # disjoint, and nothing is lost
+        assert sorted(x for leaf in leaves for part in leaf[i] for x in part.tolist()) == p.tolist()
+    assert [[d.tolist() for d, _ in leaf] for leaf in leaves] == [[d.tolist() for d, _ in leaf] for leaf in mixing.split_tree(quotas, pools, 16, 1)]
     assert mixing.targets([("b", 10), ("a", 10), (None, 10)]) == {"a": 5.0, "b": 10.0, None: 15.0}
     assert mixing.targets([("a", 1), ("b", 100), ("c", 1)]) == {"a": 3.0, "c": 3.0, "b": 96.0}
 
 
+def test_source_mix_query(spark, tmp_path):
+    """The query's sizes, targets and taken words, against a plain version; what is taken depends on the tree's shards and seed."""
+    rng = random.Random(6)
+    data = [(i, " ".join("w" * rng.randint(1, 3) for _ in range(rng.randint(0, 60))), rng.choice(["hot", "hot", "b", "c", None]) if i % 40 else "tiny") for i in range(2500)]
+    data += [(7, data[7][1], data[7][2])] * 3 + [(None, "no id here", "b"), (9001, None, "c"), (9002, "", None), (9003, "x " * 5000, "hot")]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    df.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = mixing.op10_source_mix(spark, str(tmp_path)).collect()
+    size = Counter()
+    for _, t, s in data:
+        size[s] += len((t or "").split())
+    # targets by hand: shares by weight, what is above three times a source's size goes to the others
+    names = sorted(size, key=lambda s: (s is None, s or ""))
+    weight = {s: i % 3 + 1 for i, s in enumerate(names)}
+    full, target = set(), {}
+    while True:
+        left = sum(size.values()) - sum(3 * size[s] for s in full)
+        target = {s: 3.0 * size[s] if s in full else left * weight[s] / sum(weight[x] for x in names if x not in full) for s in names}
+        over = {s for s in names if s not in full and target[s] > 3 * size[s]}
+        if not over:
+            break
+        full |= over
+    source = {i: s for i, _, s in data}
+    assert Counter((r.doc_id, r["size"], r.source_size) for r in got) == Counter((i, len((t or "").split()), size[s]) for i, t, s in data)
+    took = Counter()
+    for r in got:
+        s = source[r.doc_id]
+        took[s] += r.taken
+        assert math.isclose(r.target, target[s]) and r.taken == r["size"] * len(r.shards) <= 3 * r["size"] and (r["size"] or not r.shards)
+    assert all(abs(took[s] - target[s]) <= 60 for s in names)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    by = lambda **k: Counter((r.doc_id, r.taken, tuple(r.shards)) for r in mixing.taken(docs, **k).collect())
+    words = lambda x: Counter((d, t) for (d, t, _), n in x.items() for _ in range(n))
+    one, same, other, seeded = by(shards=16), by(shards=16), by(shards=3), by(shards=16, seed=8)
+    assert one == same == Counter((r.doc_id, r.taken, tuple(r.shards)) for r in got)
+    assert words(one) != words(other) and words(one) != words(seeded) and max(j for _, _, x in other for j in x) == 2
+    rows = mixing.mix(docs.withColumn("_shard", F.lit("mine")), shards=16)
+    assert rows.columns == ["doc_id", "text", "source", "_copy", "_shard"]
+    assert Counter((r.doc_id, r._shard) for r in rows.collect()) == Counter((d, j) for (d, _, x), n in one.items() for _ in range(n) for j in x)
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     assert jaccard_join.jaccard_components(none).count() == 0 and jaccard_join.keep_one(none).count() == 0
