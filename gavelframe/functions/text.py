@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -110,28 +110,39 @@ def tolerant_double(x: Column) -> Column:
     return F.trim(F.regexp_replace(x, r"[$%,]", "")).try_cast("double")
 
 
-def page_metrics(x: Column) -> dict[str, Column]:
-    """The ten metrics of a page's text; ratios over nothing are 0, that of short tokens 1."""
-    norm = normalize_text(x)
-    tok = tokens(norm)
-    n = F.size(tok)
-    count = lambda p: F.size(F.filter(tok, lambda t: t.rlike(p)))
+#: tokens of the normalised text that hold a letter, a vowel or a digit, and those of one character
+TOKEN_KINDS = {"alpha": "[0-9]*+[a-z][a-z0-9]*+", "vowel": "[b-df-hj-np-tv-z0-9]*+[aeiou][a-z0-9]*+", "numeric": "[a-z]*+[0-9][a-z0-9]*+", "short": "(?<![a-z0-9])[a-z0-9](?![a-z0-9])"}
+
+
+def page_metrics(x: Column, norm: Column | None = None) -> dict[str, Column]:
+    """The ten metrics of a page's text; ratios over nothing are 0, that of short tokens 1. norm: its normalised text, if it stands in
+    a column already. with_page_metrics() puts it there, so that it is made once and not in each metric."""
+    norm = normalize_text(x) if norm is None else norm
+    count = lambda p: F.regexp_count(norm, F.lit(p))
+    n, alpha = count("[a-z0-9]+"), count(TOKEN_KINDS["alpha"])
     share = lambda a, b, none=0.0: F.when(b > 0, a / b).otherwise(F.lit(none))
-    alpha = count("[a-z]")
     return {
         "char_count": F.length(x),
         "normalized_char_count": F.length(norm),
         "alnum_count": alnum_count(x),
         "token_count": n,
-        "unique_token_count": F.size(F.array_distinct(tok)),
+        "unique_token_count": F.size(F.array_distinct(tokens(norm))),
         "lexical_ratio": share(alpha, n),
-        "vowel_ratio": share(count("[aeiou]"), alpha),
-        "numeric_ratio": share(count("[0-9]"), n),
+        "vowel_ratio": share(count(TOKEN_KINDS["vowel"]), alpha),
+        "numeric_ratio": share(count(TOKEN_KINDS["numeric"]), n),
         "symbol_ratio": share(F.length(F.regexp_replace(x, r"[\p{L}\p{N}\s]", "")), F.length(x)),
-        "short_token_ratio": share(F.size(F.filter(tok, lambda t: F.length(t) <= 1)), n, 1.0),
+        "short_token_ratio": share(count(TOKEN_KINDS["short"]), n, 1.0),
     }
 
 
+def with_page_metrics(df: DataFrame, text: str = "text", names: list[str] | None = None) -> DataFrame:
+    """The rows with the metrics named (all ten by default), each text normalised once. Columns of those names are replaced."""
+    metrics = page_metrics(F.col(text), F.col("__norm"))
+    names = names or list(metrics)
+    kept = [c for c in df.columns if c not in names]
+    return df.select(*kept, normalize_text(F.col(text)).alias("__norm")).select(*kept, *[metrics[n].alias(n) for n in names])
+
+
 #: Fixed weights of the reference-quality score: term -> weight.
 QUALITY_WEIGHTS = {"alnum": 0.26, "token": 0.20, "lexical": 0.16, "vowel": 0.14, "symbol": 0.10, "short": 0.08, "numeric": 0.06}
 
@@ -207,3 +218,22 @@ def run_status(source: Column, hash_match: Column, missing: Column, comparable:
 def extraction_route(native: Column, quality: Column, region_ids: Column, handwriting: Column) -> Column:
     tables = F.exists(region_ids, lambda r: r.contains("_TAB_"))
     return F.when(handwriting, "ocr_handwriting_page").when(native & (quality >= 0.85), F.when(tables, "native_text_plus_layout").otherwise("native_text_only")).otherwise(F.when(tables, "ocr_mixed_layout_page").otherwise("ocr_text_page"))
+
+
+def turn_metrics(turns: DataFrame) -> DataFrame:
+    """(doc, turns, unknown_ratio, source_words, output_words, coverage) of turns with role, name, text and the source's words."""
+    unknown = F.count_if((F.upper("role") == "UNKNOWN") | (F.upper("name") == "UNKNOWN"))
+    sums = turns.groupBy("doc").agg(F.count("*").alias("turns"), unknown.alias("unknown"), F.max("source_words").alias("source_words"), F.sum(F.size(words(F.col("text")))).alias("output_words"))
+    exact = F.when(F.col("source_words") > 0, F.col("output_words") / F.col("source_words"))
+    return sums.select("doc", "turns", F.round(F.col("unknown") / F.col("turns"), 3).alias("unknown_ratio"), "source_words", "output_words", exact.alias("exact"), F.round(exact, 3).alias("coverage"))
+
+
+def transcript_issues(least_turns: int = 5, most_unknown: float = 0.98, least_coverage: float = 0.95) -> Column:
+    """What keeps a transcript with these metrics from passing its gate; empty if nothing does."""
+    tests = [("empty_or_unparseable_source_vtt", F.col("source_words") == 0), ("insufficient_turns", F.col("turns") < least_turns), ("unknown_saturation", F.col("unknown_ratio") > most_unknown), ("low_squeezed_coverage", F.col("exact") < least_coverage)]
+    return F.array_compact(F.array(*[F.when(t, F.lit(n)) for n, t in tests]))
+
+
+def first_disposition(*codes: Column) -> Column:
+    """The first code that is there and no SKIP, in upper case; SKIP if there is none."""
+    return F.coalesce(*[F.nullif(F.nullif(F.upper(F.trim(c)), F.lit("SKIP")), F.lit("")) for c in codes], F.lit("SKIP"))

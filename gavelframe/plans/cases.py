@@ -115,21 +115,12 @@ def snk08_prefix_delete(t: Tables) -> DataFrame:
     return t.customer.where(~F.col("c_name").startswith("Customer#00000001")).select("c_custkey")
 
 
-def flattened(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    lines = lineitem.groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber")).alias("lines"))
-    pages = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
-    return pages.select("l_orderkey", "o_orderstatus", F.inline("lines")).select("l_orderkey", "l_linenumber", "o_orderstatus")
-
-
-@query("SELECT l_orderkey, l_linenumber, o_orderstatus FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderkey % 10 = 0")
+@query("SELECT l_orderkey, l_linenumber, l_quantity, o_orderstatus, o_orderdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
 def snk11_flatten(t: Tables) -> DataFrame:
-    """A tenth of the orders, as the SQL has it; snk11_flatten_all is the whole job."""
-    return flattened(t.orders, t.lineitem.where("l_orderkey % 10 = 0"))
-
-
-@query("SELECT l_orderkey, l_linenumber, o_orderstatus FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
-def snk11_flatten_all(t: Tables) -> DataFrame:
-    return flattened(t.orders, t.lineitem)
+    """Nested children to flat rows that carry their parent's attributes."""
+    lines = t.lineitem.groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", "l_quantity")).alias("lines"))
+    pages = t.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    return R.flatten_children(pages, "lines", ["l_orderkey", "o_orderstatus", "o_orderdate"])
 
 
 @query("SELECT user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events) WHERE r = 1")

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gavelframe.functions import text as X
-from gavelframe.operators import folds, relational as R
-from gavelframe.sources import captions
+from gavelframe.operators import relational as R
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -58,19 +57,19 @@ SELECT source, count(*) AS pages, count(*) FILTER (comparable) AS comparable_pag
  min(q) AS min_quality, max(q) AS max_quality FROM f GROUP BY source""")
 def run_qa_summary(t: Tables) -> DataFrame:
     """Pages of each source by status (normalise, tokenise, score, gate, roll up)."""
-    text = F.col("text")
-    m = X.page_metrics(text)
-    page = t.documents.select("source", *[c.alias(n) for n, c in m.items()])
-    cols = {n: F.col(n) for n in m}
-    scored = page.select("source", (F.round(X.reference_quality(cols), 6)).alias("q"), ((F.col("normalized_char_count") >= 80) & (X.reference_quality(cols) >= 0.35)).alias("comparable"))
-    s = scored.withColumn("status", X.page_status(F.col("q"), F.col("comparable")))
+    used = ["normalized_char_count", "alnum_count", "token_count", "lexical_ratio", "vowel_ratio", "numeric_ratio", "symbol_ratio", "short_token_ratio"]
+    page = X.with_page_metrics(t.documents.select("source", "text"), "text", used)
+    scored = page.select("source", "normalized_char_count", X.reference_quality({n: F.col(n) for n in used}).alias("quality"))
+    s = scored.select("source", F.round("quality", 6).alias("q"), ((F.col("normalized_char_count") >= 80) & (F.col("quality") >= 0.35)).alias("comparable"))
+    s = s.withColumn("status", X.page_status(F.col("q"), F.col("comparable")))
     return s.groupBy("source").agg(F.count("*").alias("pages"), F.count_if("comparable").alias("comparable_pages"), *[F.count_if(F.col("status") == k).alias(n) for k, n in (("pass", "passed"), ("warn", "warned"), ("fail", "failed"))], F.min("q").alias("min_quality"), F.max("q").alias("max_quality"))
 
 
 @query(f"{PAGES} SELECT doc_id, CAST(length(text) AS BIGINT) AS char_count, CAST(length(norm) AS BIGINT) AS normalized_char_count, CAST(alnum AS BIGINT) AS alnum_count, CAST(n AS BIGINT) AS token_count, CAST(len(list_distinct(tok)) AS BIGINT) AS unique_token_count, round(lexical_ratio::DOUBLE, 9) AS lexical_ratio, round(vowel_ratio::DOUBLE, 9) AS vowel_ratio, round(symbol_ratio::DOUBLE, 9) AS symbol_ratio FROM d")
 def mth05_page_metrics(t: Tables) -> DataFrame:
-    m = X.page_metrics(F.col("text"))
-    return t.documents.select("doc_id", *[m[k].cast("long").alias(k) for k in ("char_count", "normalized_char_count", "alnum_count", "token_count", "unique_token_count")], *[F.round(m[k], 9).alias(k) for k in ("lexical_ratio", "vowel_ratio", "symbol_ratio")])
+    counts, ratios = ("char_count", "normalized_char_count", "alnum_count", "token_count", "unique_token_count"), ("lexical_ratio", "vowel_ratio", "symbol_ratio")
+    m = X.with_page_metrics(t.documents.select("doc_id", "text"), "text", [*counts, *ratios])
+    return m.select("doc_id", *[F.col(k).cast("long").alias(k) for k in counts], *[F.round(k, 9).alias(k) for k in ratios])
 
 
 @query(f"SELECT sha256(n) AS text_hash, count(*) AS page_count, min(doc_id) AS first_page, max(doc_id) AS last_page FROM (SELECT doc_id, {NORM} AS n FROM documents) WHERE length(n) >= 40 GROUP BY n HAVING count(*) > 1")
@@ -153,13 +152,6 @@ def win18_best_per_key(t: Tables) -> DataFrame:
     return R.latest_per_key(t.lineitem, ["l_suppkey"], [F.desc("l_shipdate"), F.desc("l_quantity"), F.asc("l_discount"), F.asc("l_orderkey"), F.asc("l_linenumber")]).select("l_suppkey", "l_orderkey", "l_linenumber")
 
 
-@query("SELECT event_id, coalesce(date_diff('millisecond', ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) > 3600000, false) AS gap_after FROM events")
-def win08_gap_after(t: Tables) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    ms = F.expr("unix_millis(cast(ts as timestamp))")
-    return t.events.withColumn("ms", ms).select("event_id", F.coalesce(F.lead("ms").over(w) - F.col("ms") > 3600000, F.lit(False)).alias("gap_after"))
-
-
 @query("SELECT user_id, event_id, CAST(sum(s) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS segment FROM (SELECT *, CASE WHEN event_type IS NOT DISTINCT FROM lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AND row_number() OVER (PARTITION BY user_id ORDER BY event_id) > 1 THEN 0 ELSE 1 END AS s FROM events)")
 def win11_segments(t: Tables) -> DataFrame:
     return R.islands(t.events, ["user_id"], "event_id", "event_type").select("user_id", "event_id", "segment")
@@ -324,19 +316,10 @@ def srt11_take_first(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(12)
 
 
-def renumbered(part: DataFrame) -> DataFrame:
-    return R.numbered(part, [F.col("p_brand"), F.lower("p_name"), F.col("p_partkey")]).select(F.format_string("GE%03d", "number").alias("id"), "p_partkey")
-
-
-@query("SELECT format('GE{:03d}', row_number() OVER (ORDER BY p_brand, lower(p_name), p_partkey)) AS id, p_partkey FROM part WHERE p_size = 1")
-def srt08_renumber(t: Tables) -> DataFrame:
-    """The parts of one size, as the SQL has it; srt08_renumber_all is the whole job."""
-    return renumbered(t.part.where("p_size = 1"))
-
-
 @query("SELECT format('GE{:03d}', row_number() OVER (ORDER BY p_brand, lower(p_name), p_partkey)) AS id, p_partkey FROM part")
-def srt08_renumber_all(t: Tables) -> DataFrame:
-    return renumbered(t.part)
+def srt08_renumber(t: Tables) -> DataFrame:
+    """Sorted by category and name, then numbered; ranges of rows are sorted apart."""
+    return R.numbered(t.part, [F.col("p_brand"), F.lower("p_name"), F.col("p_partkey")]).select(F.format_string("GE%03d", "number").alias("id"), "p_partkey")
 
 
 RESULTS = "VALUES (1, '[SUCCESS] done'), (2, '[SKIP] old'), (3, 'error: No text found in VTT'), (4, 'insufficient_turns'), (5, 'low_squeezed_coverage 0.9'), (6, 'unknown_saturation'), (7, 'Source x not found'), (8, 'boom')"
@@ -345,23 +328,3 @@ RESULTS = "VALUES (1, '[SUCCESS] done'), (2, '[SKIP] old'), (3, 'error: No text
 @query(f"SELECT id, CASE WHEN starts_with(r, '[SUCCESS]') THEN 'OK95' WHEN starts_with(r, '[SKIP]') THEN 'SKIP' WHEN contains(r, 'No text found in VTT') THEN 'EMPTYVTT' WHEN contains(r, 'insufficient_turns') THEN 'LOWSIG' WHEN contains(r, 'low_squeezed_coverage') THEN 'LOWCOV95' WHEN contains(r, 'unknown_saturation') THEN 'UNKSAT' WHEN contains(r, 'Source') AND contains(r, 'not found') THEN 'NOSRC' ELSE 'FAILED' END AS code FROM ({RESULTS}) t(id, r)")
 def gat01_disposition(t: Tables) -> DataFrame:
     return inline(t, f"SELECT * FROM ({RESULTS}) AS t(id, r)").select("id", X.disposition(F.col("r")).alias("code"))
-
-
-TURNS = [(1, 1, "good evening"), (1, 2, "the meeting will come to order"), (1, 3, "let us pray"), (1, 4, "motion to approve the minutes"), (1, 5, "please call the roll"), (1, 6, "Smith Yes"), (1, 7, "come to order again"), (1, 8, "we are adjourned"), (2, 1, "this is a long opening of more than ten words in all of it"), (2, 2, "state your name"), (2, 3, "thank you Alice")]
-
-
-@query()
-def win03_speakers(t: Tables) -> DataFrame:
-    df = t.spark.createDataFrame(TURNS, "meeting long, idx long, text string")
-    return folds.ordered_fold(df, ["meeting"], ["idx"], folds.speakers, "meeting long, idx long, text string, phase string, role string, name string, confidence double")
-
-
-@query()
-def win01_conversation_phases(t: Tables) -> DataFrame:
-    return folds.ordered_fold(t.conversations.select("conv_id", "turn", "text"), ["conv_id"], ["turn"], folds.phases, "conv_id long, turn long, text string, phase string").drop("text")
-
-
-@query()
-def src01_vtt_cues(t: Tables) -> DataFrame:
-    vtt = "WEBVTT\nKind: captions\n\n00:00:01.500 --> 00:00:03.000\n<c>hello</c> there\n\n00:00:04.000 --> 00:00:05.000\nthere friend\n01:02.250 --> 01:03.000\nbye &amp; bye\n"
-    return captions.cues(t.spark.createDataFrame([("m1", vtt), ("m2", "WEBVTT\n\n"), ("m3", None)], "code string, content string"))

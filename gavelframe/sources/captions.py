@@ -21,6 +21,18 @@ def unescape(x: Column) -> Column:
     return x
 
 
+def plain(x: Column) -> Column:
+    """A line without its time and style tags, with entities resolved."""
+    return unescape(F.trim(F.regexp_replace(x, "<[^>]+>", "")))
+
+
+def payload(files: DataFrame) -> DataFrame:
+    """(code, n, line): the lines that are no header, no time and not empty, without tags, numbered from 1."""
+    lines = files.select("code", F.posexplode(F.split("content", r"\r?\n")).alias("pos", "raw")).where(~F.col("raw").contains("-->") & ~F.col("raw").rlike("^(WEBVTT|Kind:|Language:)"))
+    text = lines.withColumn("line", F.trim(F.regexp_replace("raw", "<[^>]+>", ""))).where("line <> ''")
+    return text.select("code", F.row_number().over(Window.partitionBy("code").orderBy("pos")).cast("long").alias("n"), "line")
+
+
 def cues(files: DataFrame) -> DataFrame:
     """(code, cue_idx, ts, text). A line with --> sets the clock; each later line that is no header and not empty is a row."""
     lines = files.select("code", F.posexplode(F.split("content", r"\r?\n")).alias("pos", "raw")).withColumn("line", unescape(F.col("raw")))

@@ -12,8 +12,14 @@ def test_phases_go_forward_only():
 
 
 def test_speakers():
-    got = [(r["role"], r["name"]) for r in folds.speakers(turns("x come to order", "please call the roll Smith Yes", "call the roll Smith", "state your name", "thank you Ann"))]
-    assert got == [("CHAIR", "CHAIR_INCUMBENT"), ("CLERK", "CLERK_INCUMBENT"), ("CLERK", "CLERK_INCUMBENT"), ("CITIZEN", "PUBLIC_COMMENTER"), ("CHAIR", "CHAIR_INCUMBENT")] or got[2] == ("MEMBER", "Smith")
+    got = list(folds.speakers(turns("x come to order", "let us pray", "please call the roll Smith Yes Please No", "call the roll Smith", "so moved", "state your name", "thank you Ann", "my name is Ann Lee", "Jones makes the motion")))
+    assert [(r["role"], r["name"], r["confidence"]) for r in got] == [("CHAIR", "CHAIR_INCUMBENT", 0.95), ("CHAIR/CLERGY", "INVOCATION_SPEAKER", 0.7), ("CLERK", "CLERK_INCUMBENT", 0.7), ("MEMBER", "Smith", 0.9), ("MEMBER", "MEMBER_PROCEDURAL", 0.7), ("CITIZEN", "PUBLIC_COMMENTER", 0.7), ("CHAIR", "CHAIR_INCUMBENT", 0.8), ("CITIZEN", "PUBLIC_COMMENTER", 0.7), ("CITIZEN", "PUBLIC_COMMENTER", 0.7)]
+    assert got[-1]["members"] == ["Smith", "Jones"] and got[-1]["others"] == ["Ann Lee"]  # Please is no name
+
+
+def test_quoted_sees_the_turn_before_as_resolved():
+    rows = [{"text": "any comments from Baker?", "phase": "REPORTS", "role": "CHAIR", "name": "CHAIR_INCUMBENT", "confidence": 0.85}] + [{"text": x, "phase": "REPORTS", "role": "UNKNOWN", "name": "UNKNOWN", "confidence": 0.1} for x in ("yes I have", "a remark")] + [{"text": "Thank you alice", "phase": "REPORTS", "role": "CHAIR", "name": "CHAIR_INCUMBENT", "confidence": 0.8}]
+    assert [(r["name"], r["confidence"], r["reason"]) for r in folds.quoted(rows)] == [("CHAIR_INCUMBENT", 0.85, None), ("Baker", 0.75, "chair_call_on"), ("alice", 0.85, "chair_acknowledgment"), ("CHAIR_INCUMBENT", 0.8, None)]
 
 
 def test_squeeze_and_pack():
@@ -29,6 +35,18 @@ def test_figures():
     got = folds.figures("$1,200.50 is 12% of 10,004")
     assert [(k, r) for k, r, *_ in got] == [("CURRENCY", "$1,200.50"), ("PERCENT", "12%"), ("NUMBER", "10,004")]
     assert folds.figures(None) == []
+    kinds = lambda x: [(k[0], r) for k, r, *_ in folds.figures(x)]
+    assert kinds("-5 of +3.25 % and $ 7 in a1 2b 1,2345 $5% 1.") == [("N", "-5"), ("P", "+3.25 %"), ("C", "$ 7"), ("N", "1"), ("N", "2345"), ("C", "$5"), ("N", "1")]
+
+
+def test_sentences():
+    assert folds.sentences("okay dr lee said so please we agree Jones yes smith no thank you") == "Okay Dr lee said so please. We agree Jones yes. Smith no. Thank you"
+
+
+def test_rows_of_words():
+    word = lambda x, y, h=10: {"x": x, "y": y, "w": 8, "h": h}
+    rows = folds.rows_of_words([word(50, 2), word(0, 0), word(0, 30), word(20, 33), word(90, 60)])
+    assert [[(w["x"], w["y"]) for w in r] for r in rows] == [[(0, 0), (50, 2)], [(0, 30), (20, 33)], [(90, 60)]]
 
 
 def test_small_folds():
