@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gavelframe.functions import text as X
+from gavelframe.operators.relational import merged_maps
 
 #: Words that tell nothing about a packet's content.
 STOP_WORDS = ("about", "after", "again", "agenda", "being", "between", "could", "first", "from", "meeting", "minutes", "other", "shall", "should", "there", "their", "these", "those", "through", "under", "where", "which", "while", "would")
@@ -44,14 +45,9 @@ def key_value(line: Column, cells: Column | None = None) -> Column:
     return F.when((at >= 2) & (at <= 41), colon).when((F.size(cells) >= 2) & (first != "") & (rest != "") & (F.length(first) <= 48), F.struct(first.alias("key"), rest.alias("value"), F.lit("aligned_cells").alias("source")))
 
 
-def merge_maps(base: Column, updates: Column) -> Column:
-    """One level of a merge: keys of the updates win, the others stay."""
-    return F.map_concat(F.map_filter(base, lambda k, _: ~F.map_contains_key(updates, k)), updates)
-
-
 def deep_merge(base: Column, updates: Column) -> Column:
     """Maps of maps: inner maps that both have are merged, all else is replaced."""
-    return F.map_zip_with(base, updates, lambda _, a, b: F.when(a.isNotNull() & b.isNotNull(), merge_maps(a, b)).otherwise(F.coalesce(b, a)))
+    return F.map_zip_with(base, updates, lambda _, a, b: F.when(a.isNotNull() & b.isNotNull(), merged_maps(a, b)).otherwise(F.coalesce(b, a)))
 
 
 def safe_date(ymd: Column) -> Column:
@@ -242,3 +238,39 @@ def input_errors(name: Column, size_bytes: Column, n_pages: Column, run_id: Colu
     """What is wrong with a submitted file, in this order; empty if nothing is."""
     tests = [("bad_run_id", ~run_id_ok(run_id)), ("bad_name", ~name.rlike(r"(?i)^[a-z0-9._-]+\.pdf$")), ("too_large", size_bytes > max_mb * 1024 * 1024), ("no_pages", n_pages < 1), ("too_many_pages", n_pages > max_pages)]
     return F.array_compact(F.array(*[F.when(F.coalesce(t, F.lit(True)), F.lit(n)) for n, t in tests]))
+
+
+def source_id(url: Column, marker: str) -> Column:
+    """The unquoted path of an address behind the marker; the whole path without one."""
+    path = F.url_decode(F.parse_url(url, F.lit("PATH")))
+    return F.when(F.instr(path, marker) > 0, F.substring(path, F.instr(path, marker) + len(marker), F.length(path))).otherwise(path)
+
+
+def created_date(name: Column, hint: Column) -> Column:
+    """A file's date: a month's name, else M-D-Y, else M-D-x-Y; January 1 of the hint's year if there is none."""
+    month = long_date(name)
+    apart = r"([0-9]{1,2})[.\-_/ ]+([0-9]{1,2})[.\-_/ ]+[^0-9.\-_/ ]+[.\-_/ ]+([0-9]{2,4})"
+    part = lambda i: _int(F.regexp_extract(name, apart, i))
+    whole = r"(?:^|[^0-9])([0-9]{1,2})[.\-_/ ]+([0-9]{1,2})[.\-_/ ]+([0-9]{2,4})(?:[^0-9]|$)"
+    plain = F.when(name.rlike(whole), X.month_day_year(name, hint))
+    return F.coalesce(month, plain, _date(X.full_year(part(3), hint), part(1), part(2)), F.make_date(hint, F.lit(1), F.lit(1)))
+
+
+def form_feed_pages(x: Column, count: Column) -> Column:
+    """Pages between form feeds: blank ones at the end go, then the list is padded with empty pages or cut to the count."""
+    pages = F.split(x, "\f")
+    last = F.aggregate(F.transform(pages, lambda p, i: F.when(F.trim(F.regexp_replace(p, r"\s", "")) != "", i + 1).otherwise(0)), F.lit(0), lambda a, b: F.greatest(a, b))
+    kept = F.slice(pages, F.lit(1), last)
+    return F.slice(F.concat(kept, F.array_repeat(F.lit(""), count)), F.lit(1), count)
+
+
+def pdf_reject(content: Column, least: int = 1024) -> Column:
+    """Why a download is no PDF; null if it is one. Null content is a failed download."""
+    head = F.decode(F.substring(content, 1, 32), "ISO-8859-1")
+    return F.when(content.isNull(), "download_failed").when(F.length(content) == 0, "empty").when(F.length(content) < least, "too_small").when(~head.contains("%PDF-"), "non_pdf")
+
+
+def has_kind(tags: Column, types: list[Column], kind: str) -> Column:
+    """Whether a page's tags hold the kind; without tags whether one of the type columns does."""
+    by_type = sum((F.coalesce(t == kind, F.lit(False)).cast("int") for t in types), F.lit(0)) > 0
+    return F.when(tags.isNull() | (F.size(tags) == 0), by_type).otherwise(F.array_contains(tags, kind))

@@ -237,3 +237,68 @@ def transcript_issues(least_turns: int = 5, most_unknown: float = 0.98, least_co
 def first_disposition(*codes: Column) -> Column:
     """The first code that is there and no SKIP, in upper case; SKIP if there is none."""
     return F.coalesce(*[F.nullif(F.nullif(F.upper(F.trim(c)), F.lit("SKIP")), F.lit("")) for c in codes], F.lit("SKIP"))
+
+
+def status_rollup(pages: DataFrame, run: str, expected: int) -> DataFrame:
+    """Runs of pages (page, status): counts by status, ratios over the comparable pages, and how many of the expected pages are missing."""
+    n = lambda s: F.count_if(F.col("status") == s)
+    sums = pages.groupBy(run).agg(F.count("*").alias("pages"), n("pass").alias("passed"), n("warn").alias("warned"), n("fail").alias("failed"), n("unverifiable").alias("unverifiable"), (F.lit(expected) - F.count_distinct("page")).cast("long").alias("missing"))
+    comparable = F.col("pages") - F.col("unverifiable")
+    ratio = lambda x: F.when(comparable > 0, F.round(x / comparable, 4)).otherwise(F.lit(0.0))
+    return sums.select(run, "pages", "passed", "warned", "failed", "unverifiable", ratio(F.col("passed")).alias("pass_ratio"), ratio(F.col("passed") + F.col("warned")).alias("accepted_ratio"), ratio(F.col("failed")).alias("fail_ratio"), "missing")
+
+
+def duplicate_groups(docs: DataFrame, key: str, text: str, least: int = 40, members: bool = True) -> DataFrame:
+    """(text_hash, page_count, members in order) of pages of equal normalised text, the largest group first, then by the first member."""
+    d = docs.select(key, normalize_text(F.col(text)).alias("n")).where(F.length("n") >= least).select(key, F.sha2("n", 256).alias("text_hash"))
+    counts = [F.count("*").alias("page_count"), F.min(key).alias("__first")]
+    groups = d.groupBy("text_hash").agg(*counts, *[F.array_sort(F.collect_list(key)).alias("members")] * members).where("page_count > 1")
+    return groups.orderBy(F.desc("page_count"), "__first").drop("__first")
+
+
+def report_integrity(anchors: Column, all_anchors: Column, excerpts: Column, all_excerpts: Column, clean: Column, of: Column) -> Column:
+    """0.75 of matched anchors, 0.15 of excerpts, 0.10 of clean ones; the last share is 1 over nothing, the others 0."""
+    share = lambda a, b, none: F.when(b > 0, a / b).otherwise(F.lit(none))
+    return share(anchors, all_anchors, 0.0) * 0.75 + share(excerpts, all_excerpts, 0.0) * 0.15 + share(clean, of, 1.0) * 0.10
+
+
+def session_integrity(anchors: Column, all_anchors: Column, reasons: Column, all_reasons: Column, covered: Column, of: Column) -> Column:
+    """0.70 of matched anchors, 0.20 of reasons, 0.10 of coverage; the share of reasons is 1 over nothing, the others 0."""
+    share = lambda a, b, none: F.when(b > 0, a / b).otherwise(F.lit(none))
+    return share(anchors, all_anchors, 0.0) * 0.70 + share(reasons, all_reasons, 1.0) * 0.20 + share(covered, of, 0.0) * 0.10
+
+
+def low_text(pages: DataFrame, record: str, per_page: int = 500, in_all: int = 1000) -> DataFrame:
+    """(record, total, per_page, low, likely_empty) of records with a text a page."""
+    sums = pages.groupBy(record).agg(F.sum(F.length("text")).alias("total"), F.count("*").alias("pages"), (F.sum(F.length(F.trim("text"))) == 0).alias("likely_empty"))
+    each = F.col("total") / F.col("pages")
+    return sums.select(record, "total", each.alias("per_page"), ((each < per_page) | (F.col("total") < in_all)).alias("low"), "likely_empty")
+
+
+def reference_choice(native_chars: Column, native_quality: Column, ocr_quality: Column, alignment: Column, least: int = 400) -> Column:
+    """native, ocr or none: what a page's text is held against."""
+    return F.when((native_chars >= least) & (native_quality >= 0.35), "native").when((ocr_quality >= 0.35) & (alignment >= 0.08), "ocr").otherwise("none")
+
+
+def stage_outcome(failed: Column, tries: Column, retries: int = 2) -> Column:
+    """done, retry while there are attempts left, else quarantined."""
+    return F.when(~failed, "done").when(tries <= retries, "retry").otherwise("quarantined")
+
+
+def numeric_recall(a: Column, b: Column) -> Column:
+    """Share of the reference's number tokens that the text has; of all its tokens if it has no numbers."""
+    x, y = F.array_distinct(tokens(a)), F.array_distinct(tokens(b))
+    numbers = F.filter(y, lambda t: t.rlike("[0-9]"))
+    share = lambda part: F.when(F.size(part) > 0, F.size(F.array_intersect(x, part)) / F.size(part)).otherwise(F.lit(0.0))
+    return F.when(F.size(numbers) > 0, share(numbers)).otherwise(share(y))
+
+
+def page_score(layout: Column, similarity: Column, f1: Column, numeric: Column) -> Column:
+    """The composite score of a page: numbers weigh more in tables, mixed pages and forms."""
+    return F.when(layout.isin("table", "mixed", "form"), similarity * 0.20 + f1 * 0.55 + numeric * 0.25).otherwise(similarity * 0.45 + f1 * 0.45 + numeric * 0.10)
+
+
+def code_date(code: Column) -> Column:
+    """The date at the end of a code, else the first of eight digits between dots; null if that is no date."""
+    ymd = F.coalesce(F.nullif(F.regexp_extract(code, r"\.([0-9]{8})$", 1), F.lit("")), F.nullif(F.regexp_extract(code, r"\.([0-9]{8})\.", 1), F.lit("")))
+    return F.try_to_date(ymd, "yyyyMMdd")

@@ -117,3 +117,8 @@ def numbered(df: DataFrame, order: list[Column], out: str = "number") -> DataFra
     before = [sum(counts.get(j, 0) for j in range(i)) for i in range(len(bounds) + 1)]
     shift = F.get(F.array(*[F.lit(x).cast("bigint") for x in before]), F.col("__range"))
     return dealt.withColumn(out, shift + F.row_number().over(Window.partitionBy("__range").orderBy("__key"))).drop("__key", "__range")
+
+
+def merged_maps(old: Column, new: Column) -> Column:
+    """The keys of both maps; the new one's values win."""
+    return F.map_concat(F.map_filter(old, lambda k, _: ~F.map_contains_key(new, k)), new)

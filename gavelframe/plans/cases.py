@@ -1,4 +1,4 @@
-"""Further named queries: sinks, scalars, gates and sources, on the driver tables or on small relations that both engines build alike."""
+"""Further named queries: sinks, scalars, gates and sources, over whole tables."""
 
 from __future__ import annotations
 
@@ -10,10 +10,6 @@ from gavelframe.operators import relational as R
 from gavelframe.plans.catalog import Tables, query
 
 
-def relation(t: Tables, values: str, names: str) -> DataFrame:
-    return t.spark.sql(f"SELECT * FROM ({values}) AS t({names})")
-
-
 @query("SELECT doc_id, CAST(len(regexp_extract_all(lower(text), '[a-z0-9]+')) AS BIGINT) AS ascii_tokens, CAST(len(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) AS BIGINT) AS word_tokens FROM documents")
 def str03_tokens(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.size(X.tokens(F.col("text"))).cast("long").alias("ascii_tokens"), F.size(X.words(F.col("text"))).cast("long").alias("word_tokens"))
@@ -34,87 +30,11 @@ def str19_alnum_count(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", X.alnum_count(F.col("text")).cast("long").alias("n"))
 
 
-PEOPLE = "VALUES (1, 'JANE A DOE', 'Ann, Bob and Cy'), (2, 'bob', 'unknown & Dee'), (3, '', '')"
-
-
-@query(f"SELECT id, CASE WHEN len(p) = 0 THEN '' WHEN len(p) = 1 THEN p[1] ELSE p[1] || ' ' || p[-1] END AS key FROM (SELECT id, list_filter(string_split(upper(name), ' '), lambda x: x <> '') AS p FROM ({PEOPLE}) t(id, name, list))")
-def str13_person_key(t: Tables) -> DataFrame:
-    return relation(t, PEOPLE, "id, name, list").select("id", X.person_key(F.col("name")).alias("key"))
-
-
-@query(f"SELECT id, array_to_string(list_filter(list_transform(string_split_regex(list, '\\s*(?:,|&|\\band\\b)\\s*'), lambda x: trim(x)), lambda x: x <> '' AND lower(x) NOT IN ('unknown', 'n/a', 'none')), '|') AS people FROM ({PEOPLE}) t(id, name, list)")
-def str23_split_people(t: Tables) -> DataFrame:
-    return relation(t, PEOPLE, "id, name, list").select("id", F.array_join(X.split_people(F.col("list")), "|").alias("people"))
-
-
-MONEY = "VALUES (1, '$1,200.50'), (2, '12%'), (3, 'abc'), (4, ''), (5, '-3')"
-
-
-@query(f"SELECT id, try_cast(trim(regexp_replace(x, '[$%,]', '', 'g')) AS DOUBLE) AS value FROM ({MONEY}) t(id, x)")
-def mth01_tolerant_cast(t: Tables) -> DataFrame:
-    return relation(t, MONEY, "id, x").select("id", X.tolerant_double(F.col("x")).alias("value"))
-
-
 @query("SELECT doc_id, round((length(regexp_replace(text, '[^\\p{L}]', '', 'g'))::DOUBLE / greatest(length(text), 1)) * 100.0::DOUBLE - (length(regexp_replace(text, '[\\x00-\\x7E\\s]', '', 'g'))::DOUBLE / greatest(length(text), 1)) * 250.0::DOUBLE + least(length(text), 6000) / 120.0::DOUBLE - CASE WHEN length(regexp_replace(text, '[^\\s]', '', 'g'))::DOUBLE / greatest(length(text), 1) < 0.05 THEN 8.0::DOUBLE ELSE 0.0::DOUBLE END, 6) AS score FROM documents")
 def mth02_rescue_score(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.round(X.rescue_score(F.col("text")), 6).alias("score"))
 
 
-DAYS = "VALUES (1, 'X.20240229'), (2, 'X.20230229'), (3, 'none')"
-
-
-@query(f"SELECT id, strftime(try_strptime(regexp_extract(code, '[0-9]{{8}}$'), '%Y%m%d'), '%Y-%m-%d') AS day FROM ({DAYS}) t(id, code)")
-def dat01_code_date(t: Tables) -> DataFrame:
-    return relation(t, DAYS, "id, code").select("id", F.try_to_date(F.nullif(F.regexp_extract("code", "[0-9]{8}$", 0), F.lit("")), "yyyyMMdd").cast("string").alias("day"))
-
-
-YEARS = "VALUES (1, 24, 2024), (2, 99, 2024), (3, 70, 2024), (4, 1999, 2024), (5, 28, 2024)"
-
-
-@query(f"SELECT id, CAST(CASE WHEN y >= 100 THEN y WHEN abs(h // 100 * 100 + y - h) <= 5 THEN h // 100 * 100 + y WHEN y <= 69 THEN y + 2000 ELSE y + 1900 END AS INTEGER) AS year FROM ({YEARS}) t(id, y, h)")
-def src11_full_year(t: Tables) -> DataFrame:
-    return relation(t, YEARS, "id, y, h").select("id", X.full_year(F.col("y"), F.col("h")).cast("int").alias("year"))
-
-
-@query("SELECT doc_id, CASE WHEN n_chars = 0 THEN 'empty' WHEN n_chars < 60 THEN 'too_small' WHEN NOT starts_with(upper(text), 'T') THEN 'other_type' END AS reject FROM documents")
-def src29_typed_rejects(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", F.when(F.col("n_chars") == 0, "empty").when(F.col("n_chars") < 60, "too_small").when(~F.upper("text").startswith("T"), "other_type").alias("reject"))
-
-
-@query("SELECT o_custkey, min(o_orderkey) FILTER (p = best) AS picked FROM (SELECT *, min(p) OVER (PARTITION BY o_custkey) AS best FROM (SELECT o_custkey, o_orderkey, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'P' THEN 1 ELSE 2 END AS p FROM orders)) GROUP BY o_custkey")
-def src26_prefer_format(t: Tables) -> DataFrame:
-    rank = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "P", 1).otherwise(2)
-    return t.orders.groupBy("o_custkey").agg(F.min_by("o_orderkey", F.struct(rank, F.col("o_orderkey"))).alias("picked"))
-
-
-@query("SELECT doc_id, CAST(len(string_split(text, chr(10))) AS BIGINT) AS pages FROM documents")
-def src21_page_split(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", F.size(F.split("text", "\n")).cast("long").alias("pages"))
-
-
-@query("SELECT event_type, max(event_id) AS newest FROM events WHERE event_id <= (SELECT max(event_id) FROM events WHERE user_id % 2 = 0) GROUP BY event_type")
-def src15_latest_run(t: Tables) -> DataFrame:
-    last = t.events.where("user_id % 2 = 0").agg(F.max("event_id").alias("m"))
-    return t.events.join(F.broadcast(last), F.col("event_id") <= F.col("m")).groupBy("event_type").agg(F.max("event_id").alias("newest"))
-
-
-STATES = "VALUES (1, 'a', '1', 'b', '2'), (2, 'a', '1', 'a', '9')"
-
-
-@query(f"SELECT id, CASE WHEN k = k2 THEN k2 || v2 ELSE k || v || k2 || v2 END AS merged FROM ({STATES}) t(id, k, v, k2, v2)")
-def snk07_map_merge(t: Tables) -> DataFrame:
-    """Keys of the new map win."""
-    r = relation(t, STATES, "id, k, v, k2, v2")
-    old, new = F.create_map("k", "v"), F.create_map("k2", "v2")
-    merged = F.map_concat(F.map_filter(old, lambda k, _: ~F.map_contains_key(new, k)), new)
-    return r.select("id", F.array_join(F.transform(F.map_entries(merged), lambda e: F.concat(e["key"], e["value"])), "").alias("merged"))
-
-
-@query("SELECT c_custkey FROM customer WHERE NOT starts_with(c_name, 'Customer#00000001')")
-def snk08_prefix_delete(t: Tables) -> DataFrame:
-    return t.customer.where(~F.col("c_name").startswith("Customer#00000001")).select("c_custkey")
-
-
 @query("SELECT l_orderkey, l_linenumber, l_quantity, o_orderstatus, o_orderdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
 def snk11_flatten(t: Tables) -> DataFrame:
     """Nested children to flat rows that carry their parent's attributes."""
@@ -123,34 +43,6 @@ def snk11_flatten(t: Tables) -> DataFrame:
     return R.flatten_children(pages, "lines", ["l_orderkey", "o_orderstatus", "o_orderdate"])
 
 
-@query("SELECT user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events) WHERE r = 1")
-def snk15_snapshot(t: Tables) -> DataFrame:
-    return t.events.groupBy("user_id").agg(F.max_by("event_type", "event_id").alias("event_type"))
-
-
-@query("SELECT outcome, count(*) AS n FROM (SELECT CASE WHEN doc_id % 5 = 0 THEN 'skipped_unchanged' WHEN lang NOT IN ('en', 'fr') THEN 'skipped_disposition' WHEN n_chars < 100 THEN 'failed' ELSE 'pushed' END AS outcome FROM documents) GROUP BY outcome")
-def snk16_push_classes(t: Tables) -> DataFrame:
-    outcome = F.when(F.col("doc_id") % 5 == 0, "skipped_unchanged").when(~F.col("lang").isin("en", "fr"), "skipped_disposition").when(F.col("n_chars") < 100, "failed").otherwise("pushed")
-    return t.documents.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"))
-
-
-@query("SELECT conv_id, turn, CAST(turn * 300 + 7 AS BIGINT) AS start_s, format('{:02d}:{:02d}', CAST((turn * 300 + 7) // 60 AS INTEGER), CAST((turn * 300 + 7) % 60 AS INTEGER)) AS clock FROM conversations")
-def snk18_offset_times(t: Tables) -> DataFrame:
-    start = F.col("turn") * 300 + 7
-    return t.conversations.select("conv_id", "turn", start.alias("start_s"), F.format_string("%02d:%02d", F.floor(start / 60).cast("int"), (start % 60).cast("int")).alias("clock"))
-
-
-@query("SELECT o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders) WHERE r > 3")
-def snk21_retention(t: Tables) -> DataFrame:
-    w = Window.partitionBy("o_custkey").orderBy(F.desc("o_orderdate"), F.desc("o_orderkey"))
-    return t.orders.withColumn("r", F.row_number().over(w)).where("r > 3").select("o_orderkey")
-
-
-@query("SELECT sha256(text) AS sha, min(doc_id) AS kept, count(*) AS copies FROM documents GROUP BY text")
-def snk22_content_dedupe(t: Tables) -> DataFrame:
-    return t.documents.groupBy(F.sha2("text", 256).alias("sha")).agg(F.min("doc_id").alias("kept"), F.count("*").alias("copies"))
-
-
 @query("SELECT c_custkey, coalesce(CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_mktsegment END, 'seg-' || c_nationkey) AS segment FROM customer")
 def snk23_backfill(t: Tables) -> DataFrame:
     old = F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment"))
@@ -162,82 +54,120 @@ def snk25_enrich(t: Tables) -> DataFrame:
     return t.documents.select("doc_id").join(t.labels.select("doc_id", "quality"), "doc_id", "left")
 
 
-GAPS = "VALUES (1, ' N/A '), (2, 'x'), (3, NULL), (4, 'Unknown')"
+@query("SELECT doc_id FROM documents WHERE regexp_matches(substr(text, 1, 100000), '[0-9]{3}')")
+def flt10_guarded_search(t: Tables) -> DataFrame:
+    return t.documents.where(F.substring("text", 1, 100000).rlike("[0-9]{3}")).select("doc_id")
+
 
+@query("SELECT event_type, n FROM (SELECT event_type, count(*) AS n, min(event_id) AS first FROM events GROUP BY 1) ORDER BY n DESC, first LIMIT 3")
+def srt07_most_common(t: Tables) -> DataFrame:
+    g = t.events.groupBy("event_type").agg(F.count("*").alias("n"), F.min("event_id").alias("first"))
+    return g.orderBy(F.desc("n"), "first").limit(3).select("event_type", "n")
 
-@query(f"SELECT id, coalesce(lower(trim(v)) IN ('', 'unknown', 'n/a', 'none', 'null'), true) AS missing FROM ({GAPS}) t(id, v)")
-def flt09_missing(t: Tables) -> DataFrame:
-    return relation(t, GAPS, "id, v").select("id", X.missing_value(F.col("v")).alias("missing"))
 
+@query("SELECT n_regionkey, n_name FROM nation")
+def srt02_listing(t: Tables) -> DataFrame:
+    return t.nation.select("n_regionkey", "n_name").orderBy("n_regionkey", "n_name")
 
-@query("SELECT doc_id FROM documents WHERE regexp_matches(substr(text, 1, 100000), '[0-9]{3}')")
-def flt10_guarded_search(t: Tables) -> DataFrame:
-    return t.documents.where(F.substring("text", 1, 100000).rlike("[0-9]{3}")).select("doc_id")
 
+@query("SELECT source, count(*) FILTER (n_chars >= 500) * 100 >= 95 * count(*) AS passes FROM documents GROUP BY source")
+def gat06_share_gate(t: Tables) -> DataFrame:
+    return t.documents.groupBy("source").agg((F.count_if(F.col("n_chars") >= 500) * 100 >= F.count("*") * 95).alias("passes"))
 
-@query("SELECT p_partkey FROM part WHERE p_size IN (1, 2, 3) AND (p_type LIKE '%BRASS' OR p_retailprice > 1500 OR p_brand = 'Brand#11')")
-def flt07_dispatch(t: Tables) -> DataFrame:
-    return t.part.where(F.col("p_size").isin(1, 2, 3) & (F.col("p_type").endswith("BRASS") | (F.col("p_retailprice") > 1500) | (F.col("p_brand") == "Brand#11"))).select("p_partkey")
 
+@query("SELECT o.o_orderkey, coalesce(n, 0) = 4 AS matches FROM orders o LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = o.o_orderkey")
+def gat07_reconcile_counts(t: Tables) -> DataFrame:
+    n = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"))
+    return t.orders.select("o_orderkey").join(n, "o_orderkey", "left").select("o_orderkey", (F.coalesce("n", F.lit(0)) == 4).alias("matches"))
 
-BOXES = "VALUES (1, 'r1', 0.0, 0.0, 5.0, 5.0), (1, 'r2', 5.0, 5.0, 9.0, 9.0)"
-MARKS = "VALUES (1, 'a', 0.0, 0.0, 2.0, 2.0), (1, 'b', 4.0, 4.0, 6.0, 6.0), (1, 'c', 8.0, 8.0, 12.0, 12.0), (2, 'd', 0.0, 0.0, 1.0, 1.0)"
 
+@query("SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'JANE DOE' || c_custkey WHEN 1 THEN 'BOB' WHEN 2 THEN '' ELSE 'ANN ' || upper(c_mktsegment) END AS key FROM customer")
+def str13_person_key(t: Tables) -> DataFrame:
+    """First and last word of a name in upper case."""
+    k = F.col("c_custkey") % 4
+    name = F.when(k == 0, F.concat(F.lit(" Jane A.  doe"), F.col("c_custkey").cast("string"))).when(k == 1, "bob ").when(k == 2, "  ").otherwise(F.concat(F.lit("Ann "), "c_mktsegment"))
+    return t.customer.select("c_custkey", X.person_key(name).alias("key"))
 
-@query(f"SELECT w.id, r.region_id FROM ({MARKS}) w(page_id, id, x0, y0, x1, y1) JOIN ({BOXES}) r(page_id, region_id, a, b, c, d) ON w.page_id = r.page_id AND (x0 + x1) / 2 BETWEEN a AND c AND (y0 + y1) / 2 BETWEEN b AND d")
-def joi06_contained(t: Tables) -> DataFrame:
-    words, boxes = relation(t, MARKS, "page_id, id, x0, y0, x1, y1"), relation(t, BOXES, "page_id, region_id, x0, y0, x1, y1")
-    cast = lambda d: d.select(*[F.col(c).cast("double").alias(c) if c in ("x0", "y0", "x1", "y1") else c for c in d.columns])
-    return R.contained(cast(words), cast(boxes)).select("id", "region_id")
 
+@query("SELECT c_custkey, 'Ann ' || c_custkey || '|Bob|' || c_mktsegment AS people FROM customer")
+def str23_split_people(t: Tables) -> DataFrame:
+    """Lists of people without placeholders."""
+    said = F.concat(F.lit("Ann "), F.col("c_custkey").cast("string"), F.lit(", N/A and Bob & "), "c_mktsegment", F.lit(", unknown"))
+    return t.customer.select("c_custkey", F.array_join(X.split_people(said), "|").alias("people"))
 
-@query("SELECT r_name, min(n_name) AS first_nation, count(*) AS nations FROM region JOIN nation ON r_regionkey = n_regionkey GROUP BY r_name")
-def joi08_first_match(t: Tables) -> DataFrame:
-    return t.region.join(t.nation, F.col("r_regionkey") == F.col("n_regionkey")).groupBy("r_name").agg(F.min("n_name").alias("first_nation"), F.count("*").alias("nations"))
 
+@query("SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 1000 + o_custkey + 0.5 WHEN 1 THEN o_custkey % 100 WHEN 2 THEN -3.25 END AS value FROM orders")
+def mth01_tolerant_cast(t: Tables) -> DataFrame:
+    """Amounts and shares as numbers; null for what is none."""
+    k, c = F.col("o_orderkey") % 4, F.col("o_custkey")
+    said = F.when(k == 0, F.concat(F.lit("$"), F.format_number(c + 1000.5, 2))).when(k == 1, F.concat((c % 100).cast("string"), F.lit(" %"))).when(k == 2, "-3.25").otherwise("n/a")
+    return t.orders.select("o_orderkey", X.tolerant_double(said).alias("value"))
 
-@query("SELECT a.conv_id, CAST(len(list_intersect(x, y)) AS BIGINT) AS shared, CAST(len(list_filter(x, lambda v: NOT list_contains(y, v))) AS BIGINT) AS only_first FROM (SELECT conv_id, list_distinct(regexp_extract_all(lower(text), '[a-z]{5,}')) AS x FROM conversations WHERE turn = 0) a JOIN (SELECT conv_id, list_distinct(regexp_extract_all(lower(text), '[a-z]{5,}')) AS y FROM conversations WHERE turn = 1) b ON a.conv_id = b.conv_id")
-def set01_lexical_coverage(t: Tables) -> DataFrame:
-    lex = lambda n: F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{5,}"), F.lit(0))).alias(n)
-    a, b = t.conversations.where("turn = 0").select("conv_id", lex("x")), t.conversations.where("turn = 1").select("conv_id", lex("y"))
-    return a.join(b, "conv_id").select("conv_id", F.size(F.array_intersect("x", "y")).cast("long").alias("shared"), F.size(F.array_except("x", "y")).cast("long").alias("only_first"))
 
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 < 2 THEN strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders")
+def dat01_code_date(t: Tables) -> DataFrame:
+    """The date at the end of a code or in a file's name; null for one that is none."""
+    k, ymd = F.col("o_orderkey") % 3, F.date_format("o_orderdate", "yyyyMMdd")
+    code = F.when(k == 0, F.concat(F.lit("A.000123."), ymd)).when(k == 1, F.concat(F.lit("A.000123."), ymd, F.lit(".20240101.pdf"))).otherwise("A.000123.20231399")
+    return t.orders.select("o_orderkey", X.code_date(code).cast("string").alias("day"))
 
-@query("SELECT event_type, n FROM (SELECT event_type, count(*) AS n, min(event_id) AS first FROM events GROUP BY 1) ORDER BY n DESC, first LIMIT 3")
-def srt07_most_common(t: Tables) -> DataFrame:
-    g = t.events.groupBy("event_type").agg(F.count("*").alias("n"), F.min("event_id").alias("first"))
-    return g.orderBy(F.desc("n"), "first").limit(3).select("event_type", "n")
 
+@query("SELECT o_orderkey, CAST(CASE WHEN y >= 100 THEN y WHEN abs(h // 100 * 100 + y - h) <= 5 THEN h // 100 * 100 + y WHEN y <= 69 THEN y + 2000 ELSE y + 1900 END AS INTEGER) AS year FROM (SELECT o_orderkey, o_orderkey % 110 AS y, 1960 + o_custkey % 90 AS h FROM orders)")
+def src11_full_year(t: Tables) -> DataFrame:
+    """Two-digit years by a hint within five years, else by a pivot at 69."""
+    return t.orders.select("o_orderkey", X.full_year(F.col("o_orderkey") % 110, 1960 + F.col("o_custkey") % 90).cast("int").alias("year"))
 
-@query("SELECT n_regionkey, n_name FROM nation")
-def srt02_listing(t: Tables) -> DataFrame:
-    return t.nation.select("n_regionkey", "n_name").orderBy("n_regionkey", "n_name")
 
+@query("SELECT user_id, count(DISTINCT event_type) AS keys, string_agg(k, ',' ORDER BY k) AS state FROM (SELECT user_id, event_type, event_type || '=' || max(event_id) AS k FROM events GROUP BY 1, 2) GROUP BY user_id")
+def snk07_map_merge(t: Tables) -> DataFrame:
+    """A state map merged with a later one, whose keys win."""
+    half = lambda rest, name: t.events.where(f"event_id % 2 = {rest}").groupBy("user_id", "event_type").agg(F.max("event_id").alias("v")).groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("event_type", "v"))).alias(name))
+    whole = t.events.groupBy("user_id", "event_type").agg(F.max("event_id").alias("v")).groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("event_type", "v"))).alias("all"))
+    none = F.create_map().cast("map<string,bigint>")
+    merged = half(0, "old").join(whole, "user_id", "full").select("user_id", R.merged_maps(F.coalesce("old", none), F.coalesce("all", none)).alias("m"))
+    return merged.select("user_id", F.size("m").cast("long").alias("keys"), F.array_join(F.array_sort(F.transform(F.map_entries("m"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))), ",").alias("state"))
 
-GATES = "VALUES (1, true, true, 0, 100, 0.97, 0.01, 0.5, 0.9, 0), (2, false, true, 0, 100, 1.0, 0.0, 1.0, 1.0, 0), (3, true, false, 0, 100, 1.0, 0.0, 1.0, 1.0, 0), (4, true, true, 2, 100, 1.0, 0.0, 1.0, 1.0, 0), (5, true, true, 0, 59, 1.0, 0.0, 1.0, 1.0, 0), (6, true, true, 0, 60, 0.9, 0.1, 0.95, 1.0, 0), (7, true, true, 0, 60, 0.9, 0.1, 0.95, 0.9, 1), (8, true, true, 0, 60, 0.1, 0.9, 0.1, 0.1, 0)"
 
+@query("SELECT doc_id, lang IS NULL OR doc_id % 4 = 0 AS missing FROM documents")
+def flt09_missing(t: Tables) -> DataFrame:
+    """Values that say nothing."""
+    said = F.when(F.col("doc_id") % 8 == 0, " N/A ").when(F.col("doc_id") % 8 == 4, "Unknown").otherwise(F.col("lang"))
+    return t.documents.select("doc_id", X.missing_value(said).alias("missing"))
 
-@query(f"SELECT id, CASE WHEN NOT src OR NOT hash OR missing > 0 THEN 'fail' WHEN pages < 60 THEN 'warn' WHEN acc >= 0.95 AND failed <= 0.05 THEN 'pass' WHEN passed >= 0.95 AND art = 0 THEN 'pass' WHEN warned >= 0.9 THEN 'warn' ELSE 'fail' END AS status, CASE WHEN NOT src THEN 'source_unavailable' WHEN NOT hash THEN 'source_hash_mismatch' WHEN missing > 0 THEN 'page_coverage_gap' WHEN pages < 60 THEN 'insufficient_comparable_pages' WHEN acc >= 0.95 AND failed <= 0.05 THEN 'accepted_ratio_met' WHEN passed >= 0.95 AND art = 0 THEN 'pass_ratio_met' WHEN warned >= 0.9 THEN 'warn_ratio_met' ELSE 'ratio_below_threshold' END AS reason FROM ({GATES}) t(id, src, hash, missing, pages, acc, failed, passed, warned, art)")
-def gat03_run_status(t: Tables) -> DataFrame:
-    g = relation(t, GATES, "id, src, hash, missing, pages, acc, failed, passed, warned, art")
-    status, reason = X.run_status(*[F.col(c) for c in ("src", "hash", "missing", "pages", "acc", "failed", "passed", "warned", "art")])
-    return g.select("id", status.alias("status"), reason.alias("reason"))
 
+@query("SELECT l_orderkey, l_linenumber, l_partkey, o_orderkey AS region FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity + 1 BETWEEN 10 AND 30 AND l_linenumber * 2 + 0.5 BETWEEN 2 AND 10")
+def joi06_contained(t: Tables) -> DataFrame:
+    """Words whose centre lies in a region of their page."""
+    x, y = F.col("l_quantity"), (F.col("l_linenumber") * 2).cast("double")
+    words = t.lineitem.select(F.col("l_orderkey").alias("page_id"), "l_linenumber", "l_partkey", x.alias("x0"), (x + 2).alias("x1"), y.alias("y0"), (y + 1).alias("y1"))
+    boxes = t.orders.select(F.col("o_orderkey").alias("page_id"), F.col("o_orderkey").alias("region_id"), F.lit(10.0).alias("x0"), F.lit(30.0).alias("x1"), F.lit(2.0).alias("y0"), F.lit(10.0).alias("y1"))
+    return R.contained(words, boxes).select(F.col("page_id").alias("l_orderkey"), "l_linenumber", "l_partkey", F.col("region_id").alias("region"))
 
-ROUTES = "VALUES (1, true, 0.9, 'P_TXT_1', false), (2, true, 0.9, 'P_TAB_1', false), (3, false, 0.9, 'P_TAB_1', false), (4, true, 0.5, 'P_TXT_1', false), (5, true, 0.9, 'P_TXT_1', true)"
 
+_GATES = {"src": "c_custkey % 20 <> 0", "hash": "c_custkey % 20 <> 1", "missing": "CASE WHEN c_custkey % 20 = 2 THEN 3 ELSE 0 END", "pages": "55 + c_custkey % 20", "acc": "CAST((86 + c_custkey % 14) / 100.0 AS DOUBLE)", "failed": "CAST((c_custkey % 9) / 100.0 AS DOUBLE)", "passed": "CAST((90 + c_custkey % 10) / 100.0 AS DOUBLE)", "warned": "CAST((80 + c_custkey % 17) / 100.0 AS DOUBLE)", "art": "c_custkey % 2"}
 
-@query(f"SELECT id, CASE WHEN hand THEN 'ocr_handwriting_page' WHEN native AND q >= 0.85 THEN CASE WHEN contains(r, '_TAB_') THEN 'native_text_plus_layout' ELSE 'native_text_only' END WHEN contains(r, '_TAB_') THEN 'ocr_mixed_layout_page' ELSE 'ocr_text_page' END AS route FROM ({ROUTES}) t(id, native, q, r, hand)")
+
+@query(f"SELECT c_custkey, CASE WHEN NOT src OR NOT hash OR missing > 0 THEN 'fail' WHEN pages < 60 THEN 'warn' WHEN acc >= 0.95 AND failed <= 0.05 THEN 'pass' WHEN passed >= 0.95 AND art = 0 THEN 'pass' WHEN warned >= 0.9 THEN 'warn' ELSE 'fail' END AS status, CASE WHEN NOT src THEN 'source_unavailable' WHEN NOT hash THEN 'source_hash_mismatch' WHEN missing > 0 THEN 'page_coverage_gap' WHEN pages < 60 THEN 'insufficient_comparable_pages' WHEN acc >= 0.95 AND failed <= 0.05 THEN 'accepted_ratio_met' WHEN passed >= 0.95 AND art = 0 THEN 'pass_ratio_met' WHEN warned >= 0.9 THEN 'warn_ratio_met' ELSE 'ratio_below_threshold' END AS reason FROM (SELECT c_custkey, {', '.join(f'{x} AS {n}' for n, x in _GATES.items())} FROM customer)")
+def gat03_run_status(t: Tables) -> DataFrame:
+    """The ladder of a run's status, from its source to its ratios."""
+    g = t.customer.select("c_custkey", *[F.expr(x).alias(n) for n, x in _GATES.items()])
+    status, reason = X.run_status(*[F.col(c) for c in ("src", "hash", "missing", "pages", "acc", "failed", "passed", "warned", "art")])
+    return g.select("c_custkey", status.alias("status"), reason.alias("reason"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'ocr_handwriting_page' WHEN o_orderkey % 3 > 0 AND o_custkey % 100 >= 85 THEN CASE WHEN o_orderkey % 2 = 0 THEN 'native_text_plus_layout' ELSE 'native_text_only' END WHEN o_orderkey % 2 = 0 THEN 'ocr_mixed_layout_page' ELSE 'ocr_text_page' END AS route FROM orders")
 def cls16_route(t: Tables) -> DataFrame:
-    return relation(t, ROUTES, "id, native, q, r, hand").select("id", X.extraction_route(F.col("native"), F.col("q"), F.array("r"), F.col("hand")).alias("route"))
+    """How a page is read: by handwriting, native text of quality, and tables."""
+    regions = F.array(F.when(F.col("o_orderkey") % 2 == 0, "P_TAB_1").otherwise("P_TXT_1"), F.lit("P_TXT_2"))
+    return t.orders.select("o_orderkey", X.extraction_route(F.col("o_orderkey") % 3 > 0, (F.col("o_custkey") % 100) / F.lit(100.0), regions, F.col("o_orderkey") % 11 == 0).alias("route"))
 
 
-@query("SELECT source, count(*) FILTER (n_chars >= 500) * 100 >= 95 * count(*) AS passes FROM documents GROUP BY source")
-def gat06_share_gate(t: Tables) -> DataFrame:
-    return t.documents.groupBy("source").agg((F.count_if(F.col("n_chars") >= 500) * 100 >= F.count("*") * 95).alias("passes"))
+_RESULT = ("[SUCCESS] done", "[SKIP] old", "error: No text found in VTT", "insufficient_turns", "low_squeezed_coverage 0.9", "unknown_saturation", "Source x not found", "boom")
+_CODES = ("OK95", "SKIP", "EMPTYVTT", "LOWSIG", "LOWCOV95", "UNKSAT", "NOSRC", "FAILED")
 
 
-@query("SELECT o.o_orderkey, coalesce(n, 0) = 4 AS matches FROM orders o LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = o.o_orderkey")
-def gat07_reconcile_counts(t: Tables) -> DataFrame:
-    n = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"))
-    return t.orders.select("o_orderkey").join(n, "o_orderkey", "left").select("o_orderkey", (F.coalesce("n", F.lit(0)) == 4).alias("matches"))
+@query("SELECT event_id, CASE event_id % 8 " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(_CODES)) + " END AS code FROM events")
+def gat01_disposition(t: Tables) -> DataFrame:
+    """Outcome lines as codes."""
+    line = F.concat(F.get(F.array(*map(F.lit, _RESULT)), (F.col("event_id") % 8).cast("int")), F.lit(" of "), "event_type")
+    return t.events.select("event_id", X.disposition(line).alias("code"))

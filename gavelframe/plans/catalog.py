@@ -34,10 +34,6 @@ def query(sql: str | None = None):
     return register
 
 
-def inline(t: Tables, rows: str) -> DataFrame:
-    return t.spark.sql(rows)
-
-
 # normalised text, tokens and page metrics as SQL
 NORM = "trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g'))"
 TOK = f"regexp_extract_all({NORM}, '[a-z0-9]+')"
@@ -72,58 +68,21 @@ def mth05_page_metrics(t: Tables) -> DataFrame:
     return m.select("doc_id", *[F.col(k).cast("long").alias(k) for k in counts], *[F.round(k, 9).alias(k) for k in ratios])
 
 
-@query(f"SELECT sha256(n) AS text_hash, count(*) AS page_count, min(doc_id) AS first_page, max(doc_id) AS last_page FROM (SELECT doc_id, {NORM} AS n FROM documents) WHERE length(n) >= 40 GROUP BY n HAVING count(*) > 1")
-def agg02_duplicate_groups(t: Tables) -> DataFrame:
-    d = t.documents.select("doc_id", X.normalize_text(F.col("text")).alias("n")).where(F.length("n") >= 40).select("doc_id", F.sha2("n", 256).alias("text_hash"))
-    return d.groupBy("text_hash").agg(F.count("*").alias("page_count"), F.min("doc_id").alias("first_page"), F.max("doc_id").alias("last_page")).where("page_count > 1")
-
-
 @query("SELECT p_type, count(*) AS n FROM part GROUP BY p_type HAVING count(*) > 1")
 def agg01_having(t: Tables) -> DataFrame:
     return t.part.groupBy("p_type").agg(F.count("*").alias("n")).where("n > 1")
 
 
-@query("SELECT 'priority' AS dim, o_orderpriority AS label, count(*) AS n FROM orders GROUP BY 2 UNION ALL SELECT 'status', o_orderstatus, count(*) FROM orders GROUP BY 2")
-def agg04_histograms(t: Tables) -> DataFrame:
-    """All histograms in one pass, by grouping sets of the dimensions."""
-    d = t.orders.select(F.explode(F.array(F.struct(F.lit("priority").alias("dim"), F.col("o_orderpriority").alias("label")), F.struct(F.lit("status").alias("dim"), F.col("o_orderstatus").alias("label")))).alias("x"))
-    return d.groupBy("x.dim", "x.label").agg(F.count("*").alias("n"))
-
-
 @query("SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1 ORDER BY n DESC, event_type LIMIT 20")
 def agg05_top_labels(t: Tables) -> DataFrame:
     return t.events.groupBy("event_type").agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("users")).orderBy(F.desc("n"), "event_type").limit(20)
 
 
-@query("SELECT l_suppkey, round(0.75::DOUBLE * (count(*) FILTER (l_returnflag = 'N') / count(*)) + 0.15::DOUBLE * (count(*) FILTER (l_linestatus = 'O') / count(*)) + 0.10::DOUBLE * CASE WHEN count(*) FILTER (l_linestatus = 'O') = 0 THEN 1.0::DOUBLE ELSE count(*) FILTER (l_linestatus = 'O' AND l_discount < 0.05) / count(*) FILTER (l_linestatus = 'O') END, 9) AS integrity FROM lineitem GROUP BY l_suppkey")
-def agg07_integrity(t: Tables) -> DataFrame:
-    """Weighted shares; the last is 1 over an empty denominator."""
-    n, a, o = F.count("*"), F.count_if(F.col("l_returnflag") == "N"), F.count_if(F.col("l_linestatus") == "O")
-    clean = F.when(o == 0, 1.0).otherwise(F.count_if((F.col("l_linestatus") == "O") & (F.col("l_discount") < 0.05)) / o)
-    return t.lineitem.groupBy("l_suppkey").agg(F.round(a / n * 0.75 + o / n * 0.15 + clean * 0.10, 9).alias("integrity"))
-
-
-@query("SELECT l_orderkey, array_to_string(list_sort(list_distinct(list(CASE WHEN l_quantity > 45 THEN 'too_many' WHEN l_discount > 0.09 THEN 'too_cheap' END)  FILTER (l_quantity > 45 OR l_discount > 0.09))), ',') AS failures FROM lineitem GROUP BY l_orderkey HAVING count(*) FILTER (l_quantity > 45 OR l_discount > 0.09) > 0")
-def agg08_failure_sets(t: Tables) -> DataFrame:
-    f = F.when(F.col("l_quantity") > 45, "too_many").when(F.col("l_discount") > 0.09, "too_cheap")
-    return t.lineitem.select("l_orderkey", f.alias("f")).where("f IS NOT NULL").groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_set("f")), ",").alias("failures"))
-
-
 @query("SELECT l_linenumber, median(l_quantity) AS median_quantity, count(*) AS n FROM lineitem WHERE l_linenumber <= 8 GROUP BY l_linenumber")
 def agg11_column_medians(t: Tables) -> DataFrame:
     return t.lineitem.where("l_linenumber <= 8").groupBy("l_linenumber").agg(F.percentile("l_quantity", 0.5).alias("median_quantity"), F.count("*").alias("n"))
 
 
-@query("SELECT o_custkey, count(*) AS orders, bool_or(o_orderstatus = 'F') AS any_final, max(o_totalprice) AS top, array_to_string(list_sort(list_distinct(list(o_orderpriority))), ',') AS priorities FROM orders GROUP BY o_custkey")
-def agg13_document_rollup(t: Tables) -> DataFrame:
-    return t.orders.groupBy("o_custkey").agg(F.count("*").alias("orders"), F.bool_or(F.col("o_orderstatus") == "F").alias("any_final"), F.max("o_totalprice").alias("top"), F.array_join(F.array_sort(F.collect_set("o_orderpriority")), ",").alias("priorities"))
-
-
-@query("SELECT doc_id, n_chars < 500 AS low_text, n_chars < 1000 AS low_total, length(trim(text)) = 0 AS likely_empty FROM documents")
-def agg14_low_text(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", (F.col("n_chars") < 500).alias("low_text"), (F.col("n_chars") < 1000).alias("low_total"), (F.length(F.trim("text")) == 0).alias("likely_empty"))
-
-
 @query("SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS transcript FROM conversations WHERE trim(text) <> '' GROUP BY conv_id")
 def agg16_transcript(t: Tables) -> DataFrame:
     turns = t.conversations.where("trim(text) <> ''").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("ts"))
@@ -157,12 +116,6 @@ def win11_segments(t: Tables) -> DataFrame:
     return R.islands(t.events, ["user_id"], "event_id", "event_type").select("user_id", "event_id", "segment")
 
 
-@query("SELECT user_id, event_id, last_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) AS anchor FROM events")
-def win14_nearest_neighbour(t: Tables) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy("event_id").rowsBetween(-6, -1)
-    return t.events.select("user_id", "event_id", F.last(F.when(F.col("event_type") == "purchase", F.col("event_id")), ignorenulls=True).over(w).alias("anchor"))
-
-
 @query("SELECT l_orderkey, l_linenumber, CAST(1 + sum(f) OVER (PARTITION BY l_orderkey ORDER BY l_quantity, l_linenumber ROWS UNBOUNDED PRECEDING) AS BIGINT) AS grp FROM (SELECT *, CASE WHEN l_quantity - lag(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_quantity, l_linenumber) > 5 THEN 1 ELSE 0 END AS f FROM lineitem)")
 def win21_gap_clusters(t: Tables) -> DataFrame:
     w = Window.partitionBy("l_orderkey").orderBy("l_quantity", "l_linenumber")
@@ -176,14 +129,6 @@ def win23_ordinals(t: Tables) -> DataFrame:
     return t.conversations.select("conv_id", "turn", F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")).cast("long").alias("ordinal"))
 
 
-@query("SELECT c_nationkey, 1000 + dense_rank() OVER (ORDER BY first, c_nationkey) AS number FROM (SELECT c_nationkey, min(c_custkey) AS first FROM customer GROUP BY 1)")
-def win26_sequence(t: Tables) -> DataFrame:
-    """New numbers after the highest given one; the window ranks groups, not rows."""
-    g = t.customer.groupBy("c_nationkey").agg(F.min("c_custkey").alias("first"))
-    return g.select("c_nationkey", (F.dense_rank().over(Window.orderBy("first", "c_nationkey")) + 1000).cast("long").alias("number"))
-
-
-# upserts and replaces on orders and lineitem
 @query("SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 3 <> 0 UNION ALL SELECT c_custkey, 'new ' || c_name, c_acctbal FROM customer WHERE c_custkey % 3 = 0")
 def snk01_upsert(t: Tables) -> DataFrame:
     target = t.customer.select("c_custkey", "c_name", "c_acctbal")
@@ -203,12 +148,6 @@ def snk04_schema_evolution(t: Tables) -> DataFrame:
     return R.evolve(t.supplier.select("s_suppkey", "s_name"), t.customer.select(F.col("c_custkey").alias("s_suppkey"), F.col("c_name").alias("s_name"), "c_mktsegment"))
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT c_custkey FROM customer WHERE c_custkey % 2 <> 0 AND c_acctbal > 0")
-def snk05_insert_missing(t: Tables) -> DataFrame:
-    have = t.customer.where("c_custkey % 2 = 0").select("c_custkey")
-    return R.insert_missing(have, t.customer.where("c_acctbal > 0").select("c_custkey"), ["c_custkey"])
-
-
 @query("SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
 def joi03_delete_orphans(t: Tables) -> DataFrame:
     return R.delete_orphans(t.customer.select("c_custkey"), t.orders.withColumnRenamed("o_custkey", "c_custkey"), "c_custkey")
@@ -251,22 +190,6 @@ def src14_latest_then_filter(t: Tables) -> DataFrame:
     return last.where("x.event_type <> 'view'").select("user_id", "x.event_id")
 
 
-@query("SELECT reason, count(*) AS n FROM (SELECT CASE WHEN n_chars < 100 THEN 'too_small' WHEN n_chars > 20000 THEN 'too_large' WHEN lang <> 'en' THEN 'other_language' ELSE 'accepted' END AS reason FROM documents) GROUP BY reason")
-def src13_gated_scan(t: Tables) -> DataFrame:
-    reason = F.when(F.col("n_chars") < 100, "too_small").when(F.col("n_chars") > 20000, "too_large").when(F.col("lang") != "en", "other_language").otherwise("accepted")
-    return t.documents.groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))
-
-
-@query("SELECT page_id, regexp_extract(url, '([^/?#]+)/?([?#].*)?$', 1) AS source_id FROM pages")
-def src09_source_id(t: Tables) -> DataFrame:
-    return t.pages.select("page_id", F.regexp_extract("url", r"([^/?#]+)/?([?#].*)?$", 1).alias("source_id"))
-
-
-@query("SELECT page_id, CAST(len(regexp_extract_all(html, '<a\\s')) AS BIGINT) AS n_links FROM pages")
-def src06_anchor_count(t: Tables) -> DataFrame:
-    return t.pages.select("page_id", F.size(F.regexp_extract_all("html", F.lit(r"<a\s"), F.lit(0))).cast("long").alias("n_links"))
-
-
 @query("SELECT doc_id, i - 1 AS line_no, l AS line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents) WHERE trim(l) <> ''")
 def str18_lines(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("p", "line")).where("trim(line) <> ''").select("doc_id", F.col("p").cast("long").alias("line_no"), "line")
@@ -297,34 +220,13 @@ def str20_allowed_ratio(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", X.allowed_ratio(F.col("text")).alias("ratio"))
 
 
-@query("SELECT a.conv_id, CASE WHEN len(p) > 0 THEN len(list_intersect(p, s))::DOUBLE / len(p) ELSE 0.0 END AS token_precision, CASE WHEN len(s) > 0 THEN len(list_intersect(p, s))::DOUBLE / len(s) ELSE 0.0 END AS token_recall FROM (SELECT conv_id, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+')) AS p FROM conversations WHERE turn = 0) a JOIN (SELECT conv_id, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+')) AS s FROM conversations WHERE turn = 1) b ON a.conv_id = b.conv_id")
-def mth06_token_scores(t: Tables) -> DataFrame:
-    c = t.conversations
-    a, b = (c.where(f"turn = {i}").select("conv_id", F.col("text").alias(n)) for i, n in ((0, "a"), (1, "b")))
-    p, r, _ = X.token_scores(F.col("a"), F.col("b"))
-    return a.join(b, "conv_id").select("conv_id", p.alias("token_precision"), r.alias("token_recall"))
-
-
 @query("SELECT n, array_to_string(list_filter(range(1, 11), lambda x: NOT list_contains(seen, x)), ',') AS missing FROM (SELECT c_nationkey AS n, list_distinct(list(c_custkey % 11)) AS seen FROM customer GROUP BY 1)")
 def set02_missing_pages(t: Tables) -> DataFrame:
     seen = t.customer.groupBy(F.col("c_nationkey").alias("n")).agg(F.collect_set(F.col("c_custkey") % 11).alias("seen"))
     return seen.select("n", F.array_join(F.array_except(F.sequence(F.lit(1), F.lit(10)).cast("array<bigint>"), "seen"), ",").alias("missing"))
 
 
-@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 12")
-def srt11_take_first(t: Tables) -> DataFrame:
-    return t.orders.select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(12)
-
-
 @query("SELECT format('GE{:03d}', row_number() OVER (ORDER BY p_brand, lower(p_name), p_partkey)) AS id, p_partkey FROM part")
 def srt08_renumber(t: Tables) -> DataFrame:
     """Sorted by category and name, then numbered; ranges of rows are sorted apart."""
     return R.numbered(t.part, [F.col("p_brand"), F.lower("p_name"), F.col("p_partkey")]).select(F.format_string("GE%03d", "number").alias("id"), "p_partkey")
-
-
-RESULTS = "VALUES (1, '[SUCCESS] done'), (2, '[SKIP] old'), (3, 'error: No text found in VTT'), (4, 'insufficient_turns'), (5, 'low_squeezed_coverage 0.9'), (6, 'unknown_saturation'), (7, 'Source x not found'), (8, 'boom')"
-
-
-@query(f"SELECT id, CASE WHEN starts_with(r, '[SUCCESS]') THEN 'OK95' WHEN starts_with(r, '[SKIP]') THEN 'SKIP' WHEN contains(r, 'No text found in VTT') THEN 'EMPTYVTT' WHEN contains(r, 'insufficient_turns') THEN 'LOWSIG' WHEN contains(r, 'low_squeezed_coverage') THEN 'LOWCOV95' WHEN contains(r, 'unknown_saturation') THEN 'UNKSAT' WHEN contains(r, 'Source') AND contains(r, 'not found') THEN 'NOSRC' ELSE 'FAILED' END AS code FROM ({RESULTS}) t(id, r)")
-def gat01_disposition(t: Tables) -> DataFrame:
-    return inline(t, f"SELECT * FROM ({RESULTS}) AS t(id, r)").select("id", X.disposition(F.col("r")).alias("code"))

@@ -5,6 +5,7 @@ registries meet text on which they fire, at the size of the tables. An order is
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from gavelframe.plans.catalog import Tables
 
@@ -68,6 +69,16 @@ _NUMBERS = {"quality", "confidence", "margin", "skew", "runner_up"}
 PAGES = "SELECT o_custkey AS run, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS page, o_orderkey AS page_id, " + ", ".join(f"CAST({x} AS DOUBLE) AS {n}" if n in _NUMBERS else f"{x} AS {n}" for n, x in SIGNALS.items()) + " FROM orders"
 
 
+#: a document's lines as one page with signals of its image
+PAGE = {"route": "CASE WHEN doc % 6 = 0 THEN 'ocr_handwriting_page' ELSE 'ocr_text_page' END", "table_regions": "doc % 25", "text_regions": "doc % 30", "skew": "CAST(doc % 40 - 20 AS DOUBLE)"}
+PAGE_TEXTS = f"SELECT doc, string_agg(line, chr(10) ORDER BY line_no) AS text, {', '.join(f'{x} AS {n}' for n, x in PAGE.items())} FROM ({LINES}) GROUP BY doc"
+
+
+def page_texts(t: Tables) -> DataFrame:
+    of = lines(t).groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("ls"))
+    return of.select("doc", F.array_join(F.transform("ls", lambda x: x["line"]), "\n").alias("text"), *[F.expr(x).alias(n) for n, x in PAGE.items()])
+
+
 def orders_as(t: Tables, sql: str) -> DataFrame:
     """One of the relations above in Spark."""
     return t.spark.sql(sql.replace(" FROM orders", " FROM {orders}"), orders=t.orders)

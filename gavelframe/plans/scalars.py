@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gavelframe.functions import records as Rec
 from gavelframe.functions import text as X
+from gavelframe.operators.relational import merged_maps
 from gavelframe.plans import civic
 from gavelframe.plans.catalog import Tables, query
 
@@ -45,7 +46,7 @@ def map01_deep_merge(t: Tables) -> DataFrame:
     """A state's nested maps with an update: inner maps merge, scalars are replaced."""
     show = lambda m: F.array_join(F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
     lit = lambda *kv: F.create_map(*[F.lit(x) if isinstance(x, str) else x for x in kv])
-    one = Rec.merge_maps(lit("a", "1", "b", "2"), lit("b", F.col("o_orderstatus"), "c", "3"))
+    one = merged_maps(lit("a", "1", "b", "2"), lit("b", F.col("o_orderstatus"), "c", "3"))
     base = F.create_map(F.lit("x"), lit("k", "old", "l", "2"), F.lit("y"), lit("m", F.col("o_custkey").cast("string")))
     two = Rec.deep_merge(base, F.create_map(F.lit("x"), lit("k", "new"), F.lit("z"), lit("n", "1")))
     shown = F.array_join(F.transform(F.array_sort(F.map_keys(two)), lambda k: F.concat(k, F.lit(":{"), show(F.element_at(two, k)), F.lit("}"))), "|")
