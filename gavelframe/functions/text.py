@@ -302,3 +302,8 @@ def code_date(code: Column) -> Column:
     """The date at the end of a code, else the first of eight digits between dots; null if that is no date."""
     ymd = F.coalesce(F.nullif(F.regexp_extract(code, r"\.([0-9]{8})$", 1), F.lit("")), F.nullif(F.regexp_extract(code, r"\.([0-9]{8})\.", 1), F.lit("")))
     return F.try_to_date(ymd, "yyyyMMdd")
+
+
+def without_brackets(x: Column) -> Column:
+    """Text without what stands in square brackets."""
+    return F.trim(F.regexp_replace(x, r"\[[^\]]*\]", " "))

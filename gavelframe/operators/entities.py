@@ -23,8 +23,11 @@ def known_names(lines: DataFrame, names: tuple[str, ...], most: int = 25) -> Dat
 
 def scanned(lines: DataFrame, patterns: tuple[tuple[str, str, float], ...]) -> DataFrame:
     """(doc, line_no, category, name, confidence) of all matches of the patterns (category, expression, confidence)."""
-    hits = [F.transform(F.regexp_extract_all("line", F.lit(p), F.lit(0)), lambda m, c=c, s=s: F.struct(F.lit(c).alias("category"), m.alias("name"), F.lit(float(s)).alias("confidence"))) for c, p, s in patterns]
-    return lines.select("doc", "line_no", F.inline(F.concat(*hits)))
+
+    def hits(category: str, pattern: str, confidence: float) -> Column:
+        return F.transform(F.regexp_extract_all("line", F.lit(pattern), F.lit(0)), lambda m: F.struct(F.lit(category).alias("category"), m.alias("name"), F.lit(float(confidence)).alias("confidence")))
+
+    return lines.select("doc", "line_no", F.inline(F.concat(*[hits(*p) for p in patterns])))
 
 
 def best_per_name(candidates: DataFrame, order: list[Column]) -> DataFrame:

@@ -20,11 +20,6 @@ def str01_normalize_ws(t: Tables) -> DataFrame:
     return t.conversations.select("conv_id", "turn", X.normalize_ws(F.col("text")).alias("text"))
 
 
-@query("SELECT s_suppkey, regexp_replace(s_name || ' .,', '^[ ,;:.|-]+|[ ,;:.|-]+$', '', 'g') AS name FROM supplier")
-def str06_trim_marks(t: Tables) -> DataFrame:
-    return t.supplier.select("s_suppkey", X.trim_marks(F.concat("s_name", F.lit(" .,"))).alias("name"))
-
-
 @query("SELECT doc_id, CAST(length(regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g')) AS BIGINT) AS n FROM documents")
 def str19_alnum_count(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", X.alnum_count(F.col("text")).cast("long").alias("n"))

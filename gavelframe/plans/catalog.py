@@ -111,11 +111,6 @@ def win18_best_per_key(t: Tables) -> DataFrame:
     return R.latest_per_key(t.lineitem, ["l_suppkey"], [F.desc("l_shipdate"), F.desc("l_quantity"), F.asc("l_discount"), F.asc("l_orderkey"), F.asc("l_linenumber")]).select("l_suppkey", "l_orderkey", "l_linenumber")
 
 
-@query("SELECT user_id, event_id, CAST(sum(s) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS segment FROM (SELECT *, CASE WHEN event_type IS NOT DISTINCT FROM lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AND row_number() OVER (PARTITION BY user_id ORDER BY event_id) > 1 THEN 0 ELSE 1 END AS s FROM events)")
-def win11_segments(t: Tables) -> DataFrame:
-    return R.islands(t.events, ["user_id"], "event_id", "event_type").select("user_id", "event_id", "segment")
-
-
 @query("SELECT l_orderkey, l_linenumber, CAST(1 + sum(f) OVER (PARTITION BY l_orderkey ORDER BY l_quantity, l_linenumber ROWS UNBOUNDED PRECEDING) AS BIGINT) AS grp FROM (SELECT *, CASE WHEN l_quantity - lag(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_quantity, l_linenumber) > 5 THEN 1 ELSE 0 END AS f FROM lineitem)")
 def win21_gap_clusters(t: Tables) -> DataFrame:
     w = Window.partitionBy("l_orderkey").orderBy("l_quantity", "l_linenumber")

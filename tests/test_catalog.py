@@ -8,7 +8,7 @@ import pytest
 
 from gavelframe.functions import text as X
 from gavelframe.operators import relational as R
-from gavelframe.plans import cases, ledger, pages, scalars, transcript  # noqa: F401
+from gavelframe.plans import cases, lanes, ledger, pages, scalars, transcript  # noqa: F401
 from gavelframe.plans.catalog import QUERIES, SQL
 from gavelframe.sources import captions
 from tests.conftest import SF
