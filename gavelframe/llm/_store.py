@@ -95,15 +95,18 @@ class Folder:
         return [f.base_name for f in fs.get_file_info(FileSelector(p))]
 
     def drop(self, prefixes: Iterable[str]) -> None:
-        """On the driver: removes the files whose names begin so."""
+        """On the driver: removes the files and folders whose names begin so."""
         begins = tuple(prefixes)
         for name in self._names() if begins else []:
             if name.startswith(begins):
                 if self.path:
-                    os.remove(f"{self.path}/{name}")
+                    p = f"{self.path}/{name}"
+                    shutil.rmtree(p) if os.path.isdir(p) else os.remove(p)
                 else:
-                    fs, p = _fs(self.uri)
-                    fs.delete_file(f"{p}/{name}")
+                    from pyarrow.fs import FileType
+
+                    fs, p = _fs(f"{self.uri}/{name}")
+                    fs.delete_dir(p) if fs.get_file_info(p).type == FileType.Directory else fs.delete_file(p)
 
     def seal(self) -> None:
         """On the driver, after the job that writes files: they are listed, a bit a shard, for the closures made from now on."""

@@ -426,10 +426,64 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         _sets(docs, text, threshold, folder, bits)
     roots = components(_links(spark, threshold, folder, bits)).checkpoint()
     folder.remove()
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(facts, "doc_id long, n_shingles long, set_id long")
-    rows = rows.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("_r", F.coalesce("root", "set_id")).drop("root").checkpoint()
-    least = rows.where("_r IS NOT NULL").groupBy("_r").agg(F.min("doc_id").alias("_least"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    return rows.join(least, "_r", "left").select("doc_id", "n_shingles", F.coalesce("_least", "doc_id").alias("component_id"), "set_id")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(facts, "doc_id long, n_shingles long, set_id long").checkpoint()
+    known, known_bits = _components_store(rows, roots), bits
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = pc.fill_null(b["set_id"], 0).to_numpy(zero_copy_only=False).view(U64)
+            key, back = np.unique(sets, return_inverse=True)
+            found, (root,) = lookup(known, known_bits, key, ("root",), "set")
+            root = np.where(found, root.view(U64), key)
+            key, of = np.unique(root, return_inverse=True)
+            found, (least,) = lookup(known, known_bits, key, ("least",), "component")
+            least, has = least[of][back], found[of][back] & (sets != 0)
+            component = pc.if_else(pa.array(has), pa.array(least), b["doc_id"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["n_shingles"], component, b["set_id"]], names=["doc_id", "n_shingles", "component_id", "set_id"])
+
+    return rows.mapInArrow(assign, "doc_id long, n_shingles long, component_id long, set_id long")
+
+
+def _components_store(rows: DataFrame, roots: DataFrame) -> Folder:
+    """A store of the sets with another root (set-s, root-s) and of the components of several rows (component-s, least-s).
+
+    Rows find their component in it, so that neither a set with very many copies nor a component of very many sets meets in one task.
+    """
+    spark = rows.sparkSession
+    folder, bits = Folder(spark, "jaccard-components"), shard_bits(spark)
+    sets = rows.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
+    rooted = sets.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id")).checkpoint()
+    shard = lambda c: F.shiftrightunsigned(F.col(c), 64 - bits).cast("int").alias("shard")
+
+    def saved(key: str, value: str):
+        def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+            for b in batches:
+                s, k, v = (b[c].to_numpy(zero_copy_only=False) for c in ("shard", "k", "v"))
+                cut = runs(s)
+                for i, j in zip(cut[:-1], cut[1:], strict=True):
+                    if int(s[i]) not in held:
+                        yield from flush(held)
+                        held = {int(s[i]): []}
+                    held[int(s[i])].append((k[i:j].view(U64), v[i:j].view(U64)))
+            yield from flush(held)
+
+        def flush(held: dict[int, list[tuple[np.ndarray, np.ndarray]]]) -> Iterator[pa.RecordBatch]:
+            for s, parts in held.items():
+                k, v = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+                order = np.argsort(k)
+                folder.save(f"{key}-{s}", k[order])
+                folder.save(f"{value}-{s}", v[order])
+                yield pa.RecordBatch.from_pydict({"n": pa.array([len(k)], pa.int64())})
+
+        return save
+
+    moved = rooted.where("root <> set_id").select(shard("set_id"), F.col("set_id").alias("k"), F.col("root").alias("v"))
+    _dealt(moved).mapInArrow(saved("set", "root"), "n long").agg(F.sum("n")).first()
+    several = rooted.groupBy("root").agg(F.min("least").alias("least"), F.sum("n").alias("n")).where("n > 1 AND least IS NOT NULL")
+    _dealt(several.select(shard("root"), F.col("root").alias("k"), F.col("least").alias("v"))).mapInArrow(saved("component", "least"), "n long").agg(F.sum("n")).first()
+    folder.seal()
+    return folder
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: Threshold = Threshold()) -> DataFrame:
@@ -443,12 +497,17 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresh
     ids = F.coalesce(F.col(doc_id).cast("long"), last)
     found = jaccard_components(docs.select(ids.alias("doc_id"), F.col(text).alias("text")), threshold=threshold).where("set_id IS NOT NULL")
     sets = found.groupBy("component_id", "doc_id", "set_id").agg(F.count("*").alias("n")).checkpoint()
-    stays = sets.where("doc_id = component_id").groupBy("component_id").agg(F.min("set_id").alias("best"))
-    judged = sets.join(stays, "component_id").select("doc_id", "set_id", ((F.col("doc_id") == F.col("component_id")) & (F.col("set_id") == F.col("best"))).alias("stays"), "n").where("NOT stays OR n > 1")
+    # only rows of the component's own id can stay, one set of them; no join brings a component together
+    own = sets.where("doc_id = component_id").groupBy("component_id").agg(F.min(F.struct("set_id", "n")).alias("best")).select(F.col("component_id").alias("doc_id"), "best.*")
+    goes = sets.where("doc_id <> component_id").select("doc_id", "set_id", F.lit(False).alias("stays"), "n")
+    first = sets.where("doc_id = component_id").join(own.select("doc_id", F.col("set_id").alias("best")), "doc_id")
+    judged = goes.unionByName(first.select("doc_id", "set_id", (F.col("set_id") == F.col("best")).alias("stays"), "n")).where("NOT stays OR n > 1")
     folder, bits = Folder(spark, "keep-one"), shard_bits(spark)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            if not b.num_rows:
+                continue
             key = _row_key(b["doc_id"].to_numpy(), b["set_id"].to_numpy().view(U64))
             order = np.argsort(key)
             yield from _blobs(bits, key[order], {"key": (key[order], 8), "twice": (b["stays"].to_numpy(zero_copy_only=False)[order].astype(U64), 1)})
