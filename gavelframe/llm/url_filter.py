@@ -1,8 +1,11 @@
 """URL filter: host and path rules, then a weighted vocabulary found with Aho-Corasick.
 
-A strict term rejects on one hit; soft terms reject when at least `soft_needed` distinct ones occur. A term counts only
-between boundaries: no letter or digit may stand directly before or after it. Null urls and urls without `://` have an empty
-host and path and are allowed. Extra columns pass through untouched; repeated rows are judged alike.
+Each distinct term that occurs counts its weight once, and an address is rejected from a sum of REJECT on: one strict term (of that
+weight) or several soft ones. A term counts only between boundaries: no letter or digit may stand directly before or after it. The
+vocabulary is a table of terms and weights, by default TERMS; read_vocabulary() takes one from a file.
+
+Null urls and urls without `://` have an empty host and path and are allowed by the rules. Empty tables give empty results. Extra
+columns pass through untouched, those with the names put out are replaced; repeated rows are judged alike. Urls of any length are read.
 """
 
 from __future__ import annotations
@@ -13,9 +16,20 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+REJECT, SOFT_WEIGHT = 2.0, 1.0
+STRICT = ("porn", "porno", "pornos", "pornography", "xxx", "hentai", "camgirl", "camgirls", "sexcam", "sexcams", "livesex", "sexchat", "sextube", "escort", "escorts", "callgirl", "callgirls", "milf", "milfs", "blowjob", "gangbang", "bdsm", "upskirt", "malware", "ransomware", "spyware", "trojan", "botnet", "warez", "crackz", "nulled", "keylogger", "phishing", "carding", "spam", "spammer", "viagra", "cialis")
+SOFT = ("adult", "affiliate", "bet", "bets", "betting", "bingo", "blackjack", "bonus", "casino", "casinos", "cheap", "click", "clicks", "coupon", "coupons", "crack", "cracked", "cracks", "date", "dates", "dating", "diet", "discount", "erotic", "erotica", "fetish", "free", "freebies", "gamble", "gambling", "giveaway", "hookup", "hot", "jackpot", "keygen", "lingerie", "loan", "loans", "lottery", "lotto", "mortgage", "naked", "nude", "nudes", "payday", "pharmacy", "pill", "pills", "poker", "prize", "prizes", "promo", "replica", "replicas", "roulette", "serial", "serials", "sex", "sexy", "singles", "slot", "slots", "steroids", "torrent", "torrents", "unlocker", "webcam", "win", "winner", "winners")
+#: the default vocabulary: term -> weight
+TERMS: dict[str, float] = {t: REJECT for t in STRICT} | {t: SOFT_WEIGHT for t in SOFT}
 
-STRICT = ("porn", "porno", "xxx", "hentai", "camgirl", "camgirls", "malware", "warez", "spam", "phishing", "escorts", "sexcam")
-SOFT = ("adult", "bet", "bonus", "casino", "cheap", "click", "coupon", "crack", "date", "dating", "free", "gamble", "hot", "jackpot", "keygen", "loan", "loans", "nude", "pharmacy", "pills", "poker", "prize", "replica", "serial", "sex", "sexy", "slots", "torrent", "viagra", "win", "winner")
+
+def read_vocabulary(path: str) -> dict[str, float]:
+    """{term: weight} of a file of `term,weight` lines; terms are lower-cased, empty lines and those with # are left out."""
+    with open(path, encoding="utf-8") as f:
+        rows = [line.strip().rsplit(",", 1) for line in f if line.strip() and not line.startswith("#")]
+    return {term.strip().lower(): float(weight) for term, weight in rows}
 
 
 @dataclass(frozen=True)
@@ -70,25 +84,30 @@ def hits(machine, url: str) -> set[str]:
     return found
 
 
-def vocabulary_hits(strict: tuple[str, ...], soft: tuple[str, ...]):
-    @F.pandas_udf("struct<n_strict:int,n_soft:int>")
+def vocabulary_hits(terms: dict[str, float], reject: float):
+    """n_strict: distinct terms that reject alone; n_soft: the others; weight: the sum of all."""
+
+    @F.pandas_udf(T.StructType([T.StructField("n_strict", T.IntegerType()), T.StructField("n_soft", T.IntegerType()), T.StructField("weight", T.DoubleType())]))
     def count(urls: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        machine, hard = automaton(sorted({*strict, *soft})), {*strict}
+        machine = automaton(sorted(terms))
         for s in urls:
-            found = [hits(machine, u) if u else set() for u in s]
-            yield pd.DataFrame({"n_strict": [len(f & hard) for f in found], "n_soft": [len(f - hard) for f in found]})
+            found = [[terms[t] for t in sorted(hits(machine, u))] if u else [] for u in s]
+            strict = [sum(w >= reject for w in ws) for ws in found]
+            yield pd.DataFrame({"n_strict": strict, "n_soft": [len(ws) - n for ws, n in zip(found, strict)], "weight": [float(sum(ws)) for ws in found]})
 
     return count
 
 
-def url_filter(pages: DataFrame, url: str = "url", strict: tuple[str, ...] = STRICT, soft: tuple[str, ...] = SOFT, soft_needed: int = 2, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows with host, path, rule, n_strict, n_soft and verdict (allow or block). Columns of those names are replaced."""
-    out = pages.withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url)))
+def url_filter(pages: DataFrame, url: str = "url", terms: dict[str, float] = TERMS, reject: float = REJECT, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The rows with host, path, rule, n_strict, n_soft, weight and verdict (allow or block). Columns of those names are replaced."""
+    new = ("host", "path", "rule", "n_strict", "n_soft", "weight", "verdict")
+    kept = [c for c in pages.columns if c not in new]
+    of = F.col(url)
+    # the input's columns go in one, so that none of their names meets one of ours
+    found = pages.select(F.struct(*kept, F.lit(0).alias("")).alias("row"), host_of(of).alias("host"), path_of(of).alias("path"), vocabulary_hits(terms, reject)(of).alias("hits"))
     rule, by_rule = rule_columns(F.col("host"), F.col("path"), rules)
-    out = out.withColumn("rule", rule).withColumn("_hits", vocabulary_hits(strict, soft)(F.col(url)))
-    out = out.withColumn("n_strict", F.col("_hits.n_strict")).withColumn("n_soft", F.col("_hits.n_soft")).drop("_hits")
-    method = F.when((F.col("n_strict") >= 1) | (F.col("n_soft") >= soft_needed), "block").otherwise("allow")
-    return out.withColumn("verdict", F.coalesce(by_rule, method))
+    method = F.when(F.col("hits.weight") >= reject, "block").otherwise("allow")
+    return found.select(*[F.col("row")[c].alias(c) for c in kept], "host", "path", rule.alias("rule"), "hits.n_strict", "hits.n_soft", "hits.weight", F.coalesce(by_rule, method).alias("verdict"))
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
