@@ -9,7 +9,8 @@ the first rule that fits takes its identifiers, so that longer rules come first.
 
 The SQL form knows no wrapped lines: it gives the same rows where no known sentence is wrapped or has an end mark within.
 
-Null and empty texts have no sentence and no licence. A licence found twice is named once. Extra columns pass through.
+Null and empty texts have no sentence and no licence; empty tables give empty results. A licence found twice is named once, repeated
+rows are judged alike, texts of any length are read. Extra columns pass through, those with the names put out are replaced.
 """
 
 from __future__ import annotations
@@ -44,11 +45,40 @@ SENTENCES: dict[str, tuple[str, ...]] = {
     "cc-by-nd": ("licensed under cc by nd 4.0", "licensed under cc by nc nd 4.0"),
     "cc0": ("licensed under cc0 1.0", "this work is dedicated to the public domain", "to the extent possible under law the author has waived all copyright and related rights to this work"),
     "reserved": ("all rights reserved",),
+    "bsd-source": ("redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",),
+    "bsd-binary": ("redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",),
+    "bsd-names": ("neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", "neither the name of the nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    "bsd-as-is": ("this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",),
+    "mit-liable": ("in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",),
+    "isc-grant": ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",),
+    "isc-ref": ("licensed under the isc license", "released under the isc license", "spdx license identifier isc"),
+    "zlib-grant": ("permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",),
+    "boost-ref": ("distributed under the boost software license version 1.0", "licensed under the boost software license version 1.0", "spdx license identifier bsl 1.0"),
+    "unlicense": ("this is free and unencumbered software released into the public domain",),
+    "epl-ref": ("licensed under the eclipse public license version 2.0", "this program and the accompanying materials are made available under the terms of the eclipse public license v2.0", "spdx license identifier epl 2.0"),
+    "lgpl-grant": ("this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2.1 of the license or at your option any later version",),
+    "agpl-grant": ("this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",),
+    "gpl2-grant": ("this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",),
+    "gpl-copy": ("you should have received a copy of the gnu general public license along with this program",),
+    "gfdl": ("permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license version 1.3 or any later version published by the free software foundation",),
+    "odbl": ("this database is made available under the open database license",),
+    "cc-by-3": ("licensed under cc by 3.0", "this work is licensed under a creative commons attribution 3.0 unported license"),
+    "cc-by-sa-3": ("licensed under cc by sa 3.0", "this work is licensed under a creative commons attribution sharealike 3.0 unported license"),
+    "cc-by-nc-sa": ("licensed under cc by nc sa 4.0", "this work is licensed under a creative commons attribution noncommercial sharealike 4.0 international license"),
+    "secret": ("this document contains confidential and proprietary information",),
 }
 #: (licence, kind, sequence of identifiers), tried in this order
 RULES: tuple[tuple[str, str, tuple[str, ...]], ...] = (
     ("Apache-2.0", "permissive", ("apache-ref", "apache-use", "apache-copy", "apache-law")),
+    ("MIT", "permissive", ("mit-grant", "mit-notice", "as-is", "mit-liable")),
     ("MIT", "permissive", ("mit-grant", "mit-notice", "as-is")),
+    ("BSD-3-Clause", "permissive", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names")),
+    ("BSD-2-Clause", "permissive", ("bsd-grant", "bsd-source", "bsd-binary")),
+    ("GPL-3.0-or-later", "copyleft", ("gpl-grant", "gpl-hope", "gpl-copy")),
+    ("GPL-2.0-or-later", "copyleft", ("gpl2-grant", "gpl-hope", "gpl-copy")),
+    ("GPL-2.0-or-later", "copyleft", ("gpl2-grant", "gpl-hope")),
+    ("AGPL-3.0-or-later", "copyleft", ("agpl-grant", "gpl-hope")),
+    ("LGPL", "weak copyleft", ("lgpl-grant", "gpl-hope")),
     ("GPL-3.0-or-later", "copyleft", ("gpl-grant", "gpl-hope")),
     ("Apache-2.0", "permissive", ("apache-ref", "apache-use")),
     ("MIT", "permissive", ("mit-grant", "mit-notice")),
@@ -68,6 +98,21 @@ RULES: tuple[tuple[str, str, tuple[str, ...]], ...] = (
     ("CC-BY-NC-4.0", "restricted", ("cc-by-nc",)),
     ("CC-BY-ND-4.0", "restricted", ("cc-by-nd",)),
     ("CC0-1.0", "permissive", ("cc0",)),
+    ("GPL-2.0-or-later", "copyleft", ("gpl2-grant",)),
+    ("AGPL-3.0-or-later", "copyleft", ("agpl-grant",)),
+    ("LGPL", "weak copyleft", ("lgpl-grant",)),
+    ("ISC", "permissive", ("isc-grant",)),
+    ("ISC", "permissive", ("isc-ref",)),
+    ("Zlib", "permissive", ("zlib-grant",)),
+    ("BSL-1.0", "permissive", ("boost-ref",)),
+    ("Unlicense", "permissive", ("unlicense",)),
+    ("EPL-2.0", "weak copyleft", ("epl-ref",)),
+    ("GFDL-1.3-or-later", "copyleft", ("gfdl",)),
+    ("ODbL-1.0", "copyleft", ("odbl",)),
+    ("CC-BY-3.0", "permissive", ("cc-by-3",)),
+    ("CC-BY-SA-3.0", "copyleft", ("cc-by-sa-3",)),
+    ("CC-BY-NC-SA-4.0", "restricted", ("cc-by-nc-sa",)),
+    ("confidential", "restricted", ("secret",)),
     ("all-rights-reserved", "restricted", ("reserved",)),
     ("unknown-reference", "unknown", ("unknown",)),
 )
@@ -89,10 +134,26 @@ def normalised(text: Column) -> Column:
 
 
 def _pieces(known: dict[str, tuple[str, ...]]) -> str:
-    """Matches a known sentence over its lines, or a piece with those that "licensed under" goes on in."""
-    wrapped = lambda ws: re.escape(ws[0]) + "".join(("[ /|]" if pair in MARKED else "[ /]") + re.escape(pair[1].rstrip(".")) for pair in zip(ws, ws[1:]))
-    sentences = "|".join(wrapped(s.split(" ")) for s in sorted((s for ss in known.values() for s in ss), key=lambda s: (-len(s), s)))
-    return rf"[|/](?:{sentences})(?=[|/]|$)|[|/][^|/]*+(?:(?<={SAYS})/under[ /][^|/]*+|(?<={SAYS} under)/[^|/]*+)*"
+    """Matches a known sentence over its lines, or a piece with those that "licensed under" goes on in.
+
+    The sentences stand in it as a tree by their words, so that a place in the text is compared with each beginning once, however many
+    sentences begin so; where one goes on in another, the longer is tried first.
+    """
+    tree: dict = {}
+    for s in sorted(s for ss in known.values() for s in ss):
+        node = tree
+        for w in s.split(" "):
+            node = node.setdefault(w, {})
+        node[""] = {}
+
+    def below(node: dict, before: str | None) -> str:
+        step = lambda w: "" if before is None else "[ /|]" if (before, w) in MARKED else "[ /]"
+        ways = [step(w) + re.escape(w if before is None else w.rstrip(".")) + below(n, w) for w, n in node.items() if w]
+        if not ways:
+            return ""
+        return f"(?:{'|'.join(ways)})" + ("?" if "" in node else "") if len(ways) > 1 or "" in node else ways[0]
+
+    return rf"[|/](?:{below(tree, None)})(?=[|/]|$)|[|/][^|/]*+(?:(?<={SAYS})/under[ /][^|/]*+|(?<={SAYS} under)/[^|/]*+)*"
 
 
 def identifiers(text: Column, known: dict[str, tuple[str, ...]] = SENTENCES) -> Column:
@@ -106,9 +167,11 @@ def identifiers(text: Column, known: dict[str, tuple[str, ...]] = SENTENCES) ->
 
 def scan(docs: DataFrame, text: str = "text", known: dict[str, tuple[str, ...]] = SENTENCES, rules: tuple[tuple[str, str, tuple[str, ...]], ...] = RULES) -> DataFrame:
     """The rows with licenses and kinds (sorted distinct names joined by commas) and n_sentences, the licence sentences found."""
-    out = docs.withColumn("_s0", identifiers(F.col(text), known))
-    out = out.withColumn("n_sentences", F.size(F.regexp_extract_all("_s0", F.lit(r"\|[^|~]+"), F.lit(0))).cast("long"))
-    left, names, kinds = F.col("_s0"), [], []
+    kept = [c for c in docs.columns if c not in ("licenses", "kinds", "n_sentences")]
+    # the input's columns go in one, so that none of their names meets one of ours
+    out = docs.select(F.struct(*kept, F.lit(0).alias("")).alias("row"), identifiers(F.col(text), known).alias("ids"))
+    count = F.size(F.regexp_extract_all("ids", F.lit(r"\|[^|~]+"), F.lit(0))).cast("long")
+    left, names, kinds = F.col("ids"), [], []
     for name, kind, ids in rules:
         part = "|" + "|".join(ids) + "|"
         names.append(F.when(F.contains(left, F.lit(part)), name))
@@ -116,7 +179,18 @@ def scan(docs: DataFrame, text: str = "text", known: dict[str, tuple[str, ...]]
         if len(ids) > 1:
             left = F.replace(left, F.lit(part), F.lit("|~|"))
     joined = lambda xs: F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*xs)))), ",")
-    return out.withColumn("licenses", joined(names)).withColumn("kinds", joined(kinds)).drop("_s0")
+    return out.select(*[F.col("row")[c].alias(c) for c in kept], joined(names).alias("licenses"), joined(kinds).alias("kinds"), count.alias("n_sentences"))
+
+
+def read_sentences(path: str) -> dict[str, tuple[str, ...]]:
+    """{identifier: sentences} of a file of `identifier<tab>normalised sentence` lines, for known=."""
+    out: dict[str, tuple[str, ...]] = {}
+    with open(path, encoding="utf-8") as f:
+        for line in f:
+            if line.strip():
+                name, sentence = line.rstrip("\n").split("\t", 1)
+                out[name] = (*out.get(name, ()), sentence.strip())
+    return out
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
