@@ -478,6 +478,22 @@ def test_url_filter(spark):
     assert (got[None].host, got[urls[2]].host, got[urls[3]].path) == ("", "x.example.net", "/de/9")
 
 
+def test_url_vocabulary_is_brute_force(spark, tmp_path):
+    """Weights of distinct terms between boundaries, against a plain scan, with a table of terms from a file."""
+    (tmp_path / "terms.csv").write_text("# term,weight\nfree,1\nFree Money,1.5\n\nbad,2\nbadge,0.5\n")
+    terms = url_filter.read_vocabulary(str(tmp_path / "terms.csv"))
+    assert terms == {"free": 1.0, "free money": 1.5, "bad": 2.0, "badge": 0.5}
+    rng = random.Random(4)
+    urls = ["http://h/" + "".join(rng.choice(["free", "bad", "badge", "FREE", " money", "-", "/", "x", "é", "."]) for _ in range(rng.randint(0, 9))) for _ in range(300)]
+    df = spark.createDataFrame([(u, 1, 2) for u in urls] + [(None, 1, 2), ("", 1, 2), ("http://h/" + "x" * 100_000 + "/bad", 1, 2)], "url string, __hits int, weight int")
+    out = url_filter.url_filter(df, terms=terms, rules=())
+    for r in out.collect():
+        found = {t for t in terms if re.search(rf"(?<![^\W_]){re.escape(t)}(?![^\W_])", (r.url or "").lower())}
+        weight = sum(terms[t] for t in found)
+        assert (r.weight, r.n_strict, r.n_soft, r.verdict) == (weight, int("bad" in found), len(found - {"bad"}), "block" if weight >= 2 else "allow")
+    assert url_filter.url_filter(df.limit(0)).count() == 0
+
+
 def test_licenses(spark):
     mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions.\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
     texts_ = ["Foo. Released under the MIT License. Bar", mit, "Licensed under CC BY-NC 4.0.\nAll rights reserved.", "licensed under my own terms", "This work is licensed under the GNU General Public License, version 3.", "nothing", "", None]
@@ -485,6 +501,25 @@ def test_licenses(spark):
     assert [got[t] for t in texts_] == [("MIT", 1), ("MIT", 2), ("CC-BY-NC-4.0,all-rights-reserved", 2), ("unknown-reference", 1), ("GPL-3.0-only", 1), ("", 0), ("", 0), ("", 0)]
 
 
+def test_known_license_texts_wrapped(spark):
+    """Whole notices as they stand in files, wrapped at 72 columns."""
+    p = lambda *ss: "\n\n".join(textwrap.fill(s, 72) for s in ss)
+    bsd = p("Copyright (c) 2020, Someone. All rights reserved.", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.")
+    names = p("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.")
+    isc = p("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.")
+    agpl = p("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.")
+    cases = [(bsd, "BSD-2-Clause,all-rights-reserved"), (bsd + "\n\n" + names, "BSD-3-Clause,all-rights-reserved"), (isc, "ISC"), (agpl, "AGPL-3.0-or-later"), ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0"), ("licensed under cc by 4.0 and more", "unknown-reference")]
+    got = {r.text: r.licenses for r in licenses.scan(spark.createDataFrame([(t, 0, 0) for t, _ in cases], "text string, __ids int, kinds int")).collect()}
+    assert [got[t] for t, _ in cases] == [x for _, x in cases] and licenses.scan(spark.createDataFrame([], "text string")).count() == 0
+
+
+def test_sentences_from_a_file(spark, tmp_path):
+    (tmp_path / "s.tsv").write_text("own\tuse this as you like\nown\tuse this as you like it\n")
+    known = licenses.read_sentences(str(tmp_path / "s.tsv"))
+    got = licenses.scan(spark.createDataFrame([("Use this\nas you like it. x",), ("use this as you like!",)], "text string"), known=known, rules=(("Own", "own", ("own",)),)).collect()
+    assert [(r.licenses, r.n_sentences) for r in got] == [("Own", 1), ("Own", 1)]
+
+
 def test_licenses_over_lines(spark):
     known = [s for ss in licenses.SENTENCES.values() for s in ss]
     mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
