@@ -6,7 +6,8 @@ suffix arrays     bytes of passages of 200 bytes and more that also start elsewh
 source mix        sources are drawn to target weights; a document drawn k times has k rows
 SentencePiece     token counts, a digest of the tokens and whether they decode to the text
 
-Empty tables pass through. Null ids count as the largest. Further columns of documents pass through.
+Empty tables pass through. Null ids count as the largest. Further columns of documents pass through up to the last stage; a table
+needs doc_id, text, lang and source.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ from gavelframe.llm.suffix_dedup import remove_repeats
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = predict(docs, fit_profiles(docs), names_out=("__pred", "__score")).where("__pred <> 'und'")
-    return kept.withColumn("lang", F.coalesce("lang", "__pred")).select(*docs.columns)
+    judged = predict(docs, fit_profiles(docs), names_out=("__pred", "__score"))
+    # without any labelled row nothing is predicted, but texts with letters stay
+    kept = judged.where((F.col("__pred") != "und") | F.col("text").rlike(r"\p{L}"))
+    return kept.withColumn("lang", F.coalesce("lang", F.nullif("__pred", F.lit("und")))).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +34,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return remove_repeats(docs, as_text=True, tag="__").withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    kept = remove_repeats(docs, as_text=True, tag="__")
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return kept.select(*docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +45,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return encode(docs, digest=True).select("doc_id", "lang", "source", "n_chars", "n_tokens", "ids_sha256", "round_trip")
+    coded = encode(docs, digest=True)
+    return coded.select(*[c for c in ("doc_id", "lang", "source", "n_chars", "n_tokens", "ids_sha256", "round_trip") if c in coded.columns])
 
 
 STAGES = [("language_id", language), ("jaccard_join", near_duplicates), ("suffix_dedup", repeats), ("source_mix", source_mix), ("sentencepiece", tokens)]
@@ -51,9 +58,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gavelframe.llm._store import Folder
 
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        out = f"{Folder(spark, f'pipeline-{name}').uri}/rows.parquet"
-        stage(spark, docs, sf_dir).write.parquet(out)
-        docs = spark.read.parquet(out)
+        folder = Folder(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(f"{folder.uri}/rows.parquet")
+        docs = spark.read.parquet(f"{folder.uri}/rows.parquet")
+        if before:
+            before.remove()  # nothing reads it any more
+        before = folder
     return STAGES[-1][1](spark, docs, sf_dir)
