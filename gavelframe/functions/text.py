@@ -307,3 +307,8 @@ def code_date(code: Column) -> Column:
 def without_brackets(x: Column) -> Column:
     """Text without what stands in square brackets."""
     return F.trim(F.regexp_replace(x, r"\[[^\]]*\]", " "))
+
+
+def read_decision(unchanged: Column, native_chars: Column, sparse: Column, least: int = 400) -> Column:
+    """skip_unchanged, native, sparse or ocr: the first that a page's state allows."""
+    return F.when(unchanged, "skip_unchanged").when(native_chars >= least, "native").when(sparse, "sparse").otherwise("ocr")

@@ -581,3 +581,19 @@ def mth06_page_score(t: Tables) -> DataFrame:
     d = both.select("conv_id", joined(F.filter("ts", lambda x: x["turn"] % 2 == 0)).alias("a"), joined(F.col("ts")).alias("b"))
     p, r, _ = X.token_scores(F.col("a"), F.col("b"))
     return d.select("conv_id", F.round(p, 9).alias("token_precision"), F.round(r, 9).alias("token_recall"), F.round(X.numeric_recall(F.col("a"), F.col("b")), 9).alias("numeric_recall"))
+
+
+@query("SELECT a.c_custkey, 'added' AS change FROM customer a WHERE a.c_custkey % 3 = 0 AND NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = a.c_custkey AND o_orderstatus = 'F') UNION ALL SELECT DISTINCT o_custkey, 'stale' FROM orders WHERE o_orderstatus = 'F' AND o_custkey % 3 <> 0")
+def set03_key_differences(t: Tables) -> DataFrame:
+    """Keys that only one of two sets has."""
+    new = t.customer.where("c_custkey % 3 = 0").select("c_custkey")
+    old = t.orders.where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"))
+    status = R.reconcile(old, new, ["c_custkey"]).where("status <> 'kept'")
+    return status.select("c_custkey", F.col("status").alias("change"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 6 = 0 THEN 'skip_unchanged' WHEN n_chars >= 400 THEN 'native' WHEN doc_id % 5 = 0 THEN 'sparse' ELSE 'ocr' END AS decision FROM documents")
+def lan14_read_decision(t: Tables) -> DataFrame:
+    """How a page of minutes is read, before anything is recognised: not again, its native text, a sparse attempt or a full one."""
+    d = F.col("doc_id")
+    return t.documents.select("doc_id", X.read_decision(d % 6 == 0, F.col("n_chars"), d % 5 == 0).alias("decision"))

@@ -202,3 +202,14 @@ def str24_context_slice(t: Tables) -> DataFrame:
     """The text around a place: here from the start on, 40 characters."""
     d = t.documents.where(r"length(text) > 60 AND NOT text RLIKE '^.{0,59}[^\\x20-\\x7E]' AND NOT substring(text, 1, 60) RLIKE '  |^ |[^\\x20-\\x7E]' AND substring(text, 40, 1) <> ' '")
     return d.select("doc_id", F.size(F.split("text", " ")).cast("long").alias("n"), X.context_slice(F.col("text"), F.lit(1), F.lit(10), 30).alias("around"))
+
+
+@query("SELECT conv_id, turn, array_to_string(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')[1:5], ' ') AS first_words FROM conversations")
+def str04_unicode_tokens(t: Tables) -> DataFrame:
+    """Words of any script, lower-cased: the first five."""
+    return t.conversations.select("conv_id", "turn", F.array_join(F.slice(X.words(F.col("text")), 1, 5), " ").alias("first_words"))
+
+
+@query("SELECT page_id, sha256(html) AS sha FROM pages")
+def str21_sha256(t: Tables) -> DataFrame:
+    return t.pages.select("page_id", F.sha2("html", 256).alias("sha"))
