@@ -208,12 +208,13 @@ def flt06_agenda_pages(t: Tables) -> DataFrame:
     return page.where(Rec.has_kind(F.col("tags"), [F.col("page_type"), F.col("function_type")], "agenda")).select("o_orderkey")
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 2 THEN 'untitled' ELSE 'titled' END AS kind FROM orders WHERE o_custkey % 10 = 3")
+@query("SELECT o_custkey % 10 AS prefix, CASE WHEN o_orderkey % 4 < 2 THEN 'untitled' ELSE 'titled' END AS kind, count(*) AS n, bool_or(o_orderstatus = 'F') AS has_required FROM orders GROUP BY 1, 2")
 def flt08_untitled(t: Tables) -> DataFrame:
-    """Rows of a prefix with a null or empty title."""
+    """Items without a title, null or empty, by the prefix of their ids, and whether the required section is among them."""
     k = F.col("o_orderkey") % 4
-    items = t.orders.select("o_orderkey", F.concat((F.col("o_custkey") % 10).cast("string"), F.lit(".SCF")).alias("id"), F.when(k == 0, None).when(k == 1, "").otherwise("t").alias("title"))
-    return items.where(F.col("id").startswith("3.")).select("o_orderkey", F.when(F.coalesce("title", F.lit("")) == "", "untitled").otherwise("titled").alias("kind"))
+    items = t.orders.select(F.concat((F.col("o_custkey") % 10).cast("string"), F.lit(".SCF")).alias("id"), F.when(k == 0, None).when(k == 1, "").otherwise("t").alias("title"), "o_orderstatus")
+    kind = F.when(F.coalesce("title", F.lit("")) == "", "untitled").otherwise("titled")
+    return items.groupBy(F.substring_index("id", ".", 1).cast("long").alias("prefix"), kind.alias("kind")).agg(F.count("*").alias("n"), F.bool_or(F.col("o_orderstatus") == "F").alias("has_required"))
 
 
 # joins, sets, sorts
@@ -256,11 +257,13 @@ def set01_coverage(t: Tables) -> DataFrame:
     return sets.select("c_nationkey", F.array_join(F.array_sort(F.array_except("src", "db")), ",").alias("missing"), F.when(F.size("src") > 0, F.round(F.size(F.array_intersect("src", "db")) / F.size("src"), 4)).otherwise(F.lit(1.0)).alias("coverage"))
 
 
-@query("SELECT conv_id, string_agg(w, ' ' ORDER BY p) AS words FROM (SELECT conv_id, w, min(p) AS p FROM (SELECT conv_id, unnest(t) AS w, generate_subscripts(t, 1) AS p FROM (SELECT conv_id, regexp_extract_all(text, '[A-Za-z]+') AS t FROM conversations WHERE turn = 0)) GROUP BY 1, 2) GROUP BY conv_id")
+@query("SELECT conv_id, string_agg(w, ' ' ORDER BY p) AS words FROM (SELECT conv_id, w, min(p) AS p FROM (SELECT conv_id, unnest(t) AS w, generate_subscripts(t, 1) AS p FROM (SELECT conv_id, regexp_extract_all(string_agg(text, ' ' ORDER BY turn), '[A-Za-z]+') AS t FROM conversations GROUP BY conv_id)) GROUP BY 1, 2) GROUP BY conv_id")
 def set04_ordered_distinct(t: Tables) -> DataFrame:
     """Distinct values in the order of their first occurrence."""
+    talks = t.conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("ts"))
+    text = talks.select("conv_id", F.array_join(F.transform("ts", lambda x: x["text"]), " ").alias("text"))
     words = F.array_distinct(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)))
-    return t.conversations.where("turn = 0").select("conv_id", words.alias("w")).where(F.size("w") > 0).select("conv_id", F.array_join("w", " ").alias("words"))
+    return text.select("conv_id", words.alias("w")).where(F.size("w") > 0).select("conv_id", F.array_join("w", " ").alias("words"))
 
 
 @query("SELECT o_custkey, 'new' AS change FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F') a WHERE NOT EXISTS (SELECT 1 FROM orders b WHERE b.o_custkey = a.o_custkey AND b.o_orderstatus = 'P') UNION ALL SELECT o_custkey, 'gone' FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'P') a WHERE NOT EXISTS (SELECT 1 FROM orders b WHERE b.o_custkey = a.o_custkey AND b.o_orderstatus = 'F')")

@@ -94,7 +94,7 @@ def dat02_meeting_date(t: Tables) -> DataFrame:
     return line.groupBy("doc").agg(F.coalesce(first("a"), first("b")).cast("string").alias("day"))
 
 
-@query(f"SELECT doc, min_by(tm, line_no) FILTER (tm IS NOT NULL) AS time FROM (SELECT doc, line_no, CASE WHEN line LIKE 'at %' AND CAST(regexp_extract(line, 'at ([0-9]+):', 1) AS INTEGER) <= 12 THEN regexp_extract(line, 'at ([0-9]+:[0-9]+)', 1) || ' PM' WHEN line LIKE 'doors%' THEN regexp_extract(line, 'at ([0-9]+)', 1) || ':00 AM' END AS tm FROM {L}) GROUP BY doc")
+@query(f"SELECT doc, min_by(tm, line_no) FILTER (tm IS NOT NULL) AS time FROM (SELECT doc, line_no, CASE WHEN line LIKE 'at %' AND CAST(regexp_extract(line, 'at ([0-9]+):', 1) AS INTEGER) <= 12 THEN regexp_extract(line, 'at ([0-9]+:[0-9]+)', 1) || ' PM' WHEN line LIKE 'at %' AND CAST(regexp_extract(line, ':([0-9]+)', 1) AS INTEGER) <= 12 THEN regexp_extract(line, ':([0-9]+)', 1) || ':00 PM' WHEN line LIKE 'doors%' THEN regexp_extract(line, 'at ([0-9]+)', 1) || ':00 AM' END AS tm FROM {L}) GROUP BY doc")
 def dat03_meeting_time(t: Tables) -> DataFrame:
     """The first valid time of a document's lines."""
     line = civic.lines(t).select("doc", "line_no", Rec.clock_time(F.col("line")).alias("time"))

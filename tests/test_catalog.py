@@ -74,7 +74,7 @@ def test_scalars(spark):
 
 
 def test_flatten_leaves_no_line_out(spark):
-    got = QUERIES["snk11_flatten_all"](spark, SF)
+    got = QUERIES["snk11_flatten"](spark, SF)
     assert got.count() == spark.read.parquet(f"{SF}/lineitem.parquet").count() and got.where("l_orderkey % 10 <> 0").count()
 
 
@@ -89,7 +89,7 @@ def test_numbered(spark):
 
 
 def test_renumber_all_parts(spark):
-    got = QUERIES["srt08_renumber_all"](spark, SF)
+    got = QUERIES["srt08_renumber"](spark, SF)
     assert got.count() == spark.read.parquet(f"{SF}/part.parquet").count()
     assert "SinglePartition" not in got._jdf.queryExecution().toString()
 

@@ -53,3 +53,61 @@ def test_small_folds():
     assert folds.distinct_recent(["a", "b", "a", "c", "d", "e", "f", "a"]) == ["a", "b", "c", "d", "e", "f", "a"]
     assert [r["turn_id"] for r in folds.repair_ids([{"turn_id": 5}, {"turn_id": None}, {"turn_id": 5}])] == [5, 2, 3]
     assert folds.running_mean_groups([1, 2, 3, 10], 1.5) == [[1, 2, 3], [10]]
+
+
+def test_minutes_excerpts():
+    import re
+
+    from gavelframe.operators import lanes
+
+    lines = ["II. Minutes", "approve the minutes of May", "", "", "motion by A", "III. Reports", "a motion here", "text", "more", "end"]
+    fits = lambda p: re.compile(p).search
+    got = lanes.minutes_excerpts([{"doc": 1, "line": x} for x in lines], fits("Minutes"), fits("motion"), fits("^[IVX]+[.]"))
+    # the section ends at two blank lines, which go; the first motion is not covered, and its excerpt crosses the next heading
+    assert [(g["kind"], g["start"], g["end"]) for g in got] == [("minutes_section", 1, 2), ("minutes_action", 4, 8), ("minutes_action", 6, 10)]
+    assert got[0]["text"] == "II. Minutes\napprove the minutes of May" and lanes.minutes_excerpts([{"doc": 1, "line": None}], fits("x"), fits("x"), fits("x")) == []
+
+
+def test_outline():
+    from gavelframe.operators import lanes
+
+    lines = ["I. CALL", "II.", "", "REPORTS: 1) first report", "a. Police", "i) no item", "II. again", "III. LAST", "2) item", "plain"]
+    got = lanes.outline([{"doc": 1, "line": x} for x in lines])
+    assert [(g["section"], g["title"], g["label"], g["item"]) for g in got] == [("I", "CALL", None, None), ("II", "REPORTS", None, None), ("II", None, "1", "first report"), ("II", None, "a", "Police"), ("III", "LAST", None, None), ("III", None, "2", "item")]
+
+
+def test_recovered_modes():
+    from gavelframe.operators import page_folds
+
+    def page(mode, blank=False, **scores):
+        return {"mode": mode, "blank": blank, **{k: 0.0 for k in ("m1", "m2", "a1", "a2", "c1", "c2", "att")}, **scores}
+
+    modes = lambda *rows: [(r["mode"], r["recovered"]) for r in page_folds.recover_modes(list(rows))]
+    u, one, two = page("unknown"), page("mode_1"), page("mode_2")
+    assert modes(one, u, one) == [("mode_1", None), ("mode_1", "SANDWICH"), ("mode_1", None)]
+    assert modes(two, two, page("unknown", c2=0.1))[-1] == ("mode_2", "CLUSTER_TAIL") and modes(two, two, u)[-1] == ("unknown", None)
+    assert modes(page("unknown", m1=0.4, c1=0.4))[0] == ("mode_1", "LOW_CONFIDENCE")
+    assert modes(one, u, page("unknown", blank=True), one)[1:3] == [("mode_1", "SHORT_GAP"), ("unknown", None)]
+    assert modes(one, u, page("unknown", att=0.3), u, one)[1:4] == [("mode_1", "ATTACHMENT_CHAIN")] * 3
+    assert modes(one, u, page("unknown", m2=0.6), u, one)[1:4] == [("unknown", None)] * 3
+    assert modes(one, u, u, u, one)[1:4] == [("unknown", None)] * 3
+
+
+def test_resolved_modes():
+    from gavelframe.operators import page_folds
+
+    def page(**scores):
+        return {**{k: 0.0 for k in ("m1", "m2", "a1", "a2", "c1", "c2", "att")}, **scores}
+
+    modes = lambda *rows: [(r["mode"], r["reason"]) for r in page_folds.resolve_modes(list(rows))]
+    assert modes(page(a1=0.95), page(c1=0.3), page(c1=0.3, m2=0.6), page(c2=0.1)) == [("mode_1", "DIRECT_ANCHOR_M1"), ("mode_1", "CARRY_FORWARD"), ("mode_2", "COMPETITIVE_SWITCH"), ("unknown", "INSUFFICIENT_SIGNALS")]
+    assert modes(page(m1=0.5), page(m1=0.9)) == [("mode_1", "LOOK_AHEAD"), ("mode_1", "DIRECT_SCORE")]
+    assert modes(page(a1=0.95), page(att=0.4), page(m1=0.6, a1=0.4)) == [("mode_1", "DIRECT_ANCHOR_M1"), ("mode_1", "ATTACHMENT_CONTINUITY"), ("mode_1", "SEMANTIC_FALLBACK")]
+
+
+def test_segments_absorb_blanks(spark):
+    from gavelframe.operators import page_folds
+
+    rows = [("u", False), ("u", False), ("m1", False), ("m1", False), ("m2", False), ("unknown", True), ("m2", False)]
+    df = spark.createDataFrame([(1, i, label, blank, False) for i, (label, blank) in enumerate(rows)], "run int, page int, label string, blank boolean, fresh boolean")
+    assert [r.segment for r in page_folds.absorbed(df).orderBy("page").collect()] == [1, 1, 2, 2, 3, 3, 3]
