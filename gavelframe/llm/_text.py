@@ -108,6 +108,18 @@ def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(U64) * U64(0x632BE59BD9B4E019))
 
 
+def spans_hashed(buf: np.ndarray, start: np.ndarray, end: np.ndarray, most: int = 1 << 22) -> np.ndarray:
+    """span_hash() of spans that follow each other, about `most` bytes at a time, so that a long text needs no sums of all its bytes."""
+    out = np.empty(len(start), U64)
+    i = 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(end, start[i] + most, "right")))
+        lo = start[i]
+        out[i:j] = span_hash(prefix(buf[lo : end[j - 1]]), start[i:j] - lo, end[i:j] - lo)
+        i = j
+    return out
+
+
 def words(column: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of the words [^\\x20\\x09-\\x0D]+, offsets of each text's words); A-Z count as a-z if lower."""
     buf, off = flat(column)
@@ -121,7 +133,7 @@ def words(column: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]
     after = np.concatenate([gap[1:], [True]]) | edge[1:]
     start = np.flatnonzero(~gap & before)
     end = np.flatnonzero(~gap & after) + 1
-    return span_hash(prefix(LOWER[buf] if lower else buf), start, end), np.searchsorted(start, off)
+    return spans_hashed(LOWER[buf] if lower else buf, start, end), np.searchsorted(start, off)
 
 
 def shingles(hashes: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

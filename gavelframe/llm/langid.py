@@ -24,7 +24,8 @@ from gavelframe.llm._text import U64, codepoints, mix, pieces
 
 LONGEST = 5
 MULTIPLIER = 0x9E3779B97F4A7C15
-COUNTED = 2_000_000  # n-grams that a map task holds before it counts them
+COUNTED = 1_000_000  # distinct n-grams of texts that a map task holds before it counts them together
+STRETCH = 1 << 20  # characters of one text that are counted at once
 _TABLE: np.ndarray | None = None
 
 
@@ -41,11 +42,33 @@ def letters() -> np.ndarray:
     return _TABLE
 
 
-def ngram_codes(column: pa.Array) -> Iterator[np.ndarray]:
-    """For each text the hashes of its n-grams within words, repeats included."""
+def ngram_counts(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each text its distinct n-grams' hashes, in order, and how often each occurs; long texts are counted STRETCH characters at a time."""
     cps, off = codepoints(column)
     table = letters()
-    c = np.where(cps < len(table), table[np.minimum(cps, len(table) - 1)], 0).astype(U64)
+    c = np.zeros(len(cps), np.uint32)
+    for p in range(0, len(cps), STRETCH):
+        part = cps[p : p + STRETCH]
+        c[p : p + STRETCH] = np.where(part < len(table), table[np.minimum(part, len(table) - 1)], 0)
+    if len(off) > 2 or len(c) <= STRETCH:
+        for codes in _codes(c, off):
+            yield counted(codes)
+        return
+    have, times, p = np.zeros(0, U64), np.zeros(0, np.int64), 0
+    while p < len(c):  # cut where no word is
+        end = min(len(c), p + STRETCH)
+        gaps = np.flatnonzero(c[p:end] == 0) if end < len(c) else np.zeros(0, np.int64)
+        end = p + int(gaps[-1]) + 1 if len(gaps) else end if end == len(c) else end + int(np.argmax(np.append(c[end:], 0) == 0))
+        (codes,) = _codes(c[p:end], np.array([0, end - p]))
+        more, n = counted(codes)
+        have, times = counted(np.concatenate([have, more]), np.concatenate([times, n]))
+        p = end
+    yield have, times
+
+
+def _codes(letters_: np.ndarray, off: np.ndarray) -> Iterator[np.ndarray]:
+    """The hashes of each text's n-grams within words, repeats included, from its letters."""
+    c = letters_.astype(U64)
     owner = np.repeat(np.arange(len(off) - 1), np.diff(off))
     # a boundary stands before each text and in place of each run of other characters
     c, owner = np.insert(c, off[:-1], 0), np.insert(owner, off[:-1], np.arange(len(off) - 1))
@@ -84,9 +107,8 @@ def counted(codes: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndar
     return codes[at], np.diff(np.append(at, len(codes))) if times is None else np.add.reduceat(times, at) if len(at) else times
 
 
-def ranked(codes: np.ndarray, length: int) -> np.ndarray:
+def ranked(have: np.ndarray, times: np.ndarray, length: int) -> np.ndarray:
     """The most frequent codes, ties by code."""
-    have, times = counted(codes)
     if len(have) > length:
         least = np.partition(times, len(times) - length)[-length]
         more, same = np.flatnonzero(times > least), np.flatnonzero(times == least)
@@ -106,18 +128,18 @@ def fit_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id
     sample = rows.join(share, "lang").where(F.col("u") < F.col("share") * 1_000_003).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[np.ndarray]] = {}
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
         n = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for name, codes in held.items():
-                have, times = counted(np.concatenate(codes))
+            for name, parts in held.items():
+                have, times = counted(*(np.concatenate([p[i] for p in parts]) for i in (0, 1)))
                 yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(have), pa.string()), "code": have.view(np.int64), "n": times})
 
         for b in pieces(batches, "text"):
-            for name, codes in zip(b["lang"].to_pylist(), ngram_codes(b["text"]), strict=True):
-                held.setdefault(name, []).append(codes)
-                n += len(codes)
+            for name, counts in zip(b["lang"].to_pylist(), ngram_counts(b["text"]), strict=True):
+                held.setdefault(name, []).append(counts)
+                n += len(counts[0])
             if n >= COUNTED:
                 yield from flush()
                 held, n = {}, 0
@@ -148,8 +170,8 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text",
         known, ranks = table.value
         for b in pieces(batches, text):
             pred, score = [], []
-            for codes in ngram_codes(b[text]):
-                top = ranked(codes, length).view(np.int64)
+            for have, times in ngram_counts(b[text]):
+                top = ranked(have, times, length).view(np.int64)
                 if not len(top) or not names:
                     pred.append("und")
                     score.append(0.0)

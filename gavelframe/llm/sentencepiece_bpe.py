@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from gavelframe.llm._store import small_batches
-from gavelframe.llm._text import U64, flat, give_back, pieces, prefix, span_hash
+from gavelframe.llm._text import U64, flat, give_back, pieces, spans_hashed
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -270,7 +270,7 @@ class Bpe:
         begin[off[:-1][full]] = True
         start = np.flatnonzero(begin)
         stop = np.append(start[1:], len(buf))[: len(start)]
-        return buf, off, start, stop, span_hash(prefix(buf), start, stop)
+        return buf, off, start, stop, spans_hashed(buf, start, stop)
 
     def _unmet(self, units: np.ndarray) -> np.ndarray:
         if not len(self.unit_key):

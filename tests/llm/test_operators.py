@@ -371,6 +371,26 @@ def test_langid_is_rank_order(spark, docs, rows):
     assert "lang_pred" in got[0] and len({r.score for r in got}) > 20 and code("é") != code("è")
 
 
+def test_langid_of_a_very_long_text(monkeypatch):
+    """Counted in stretches, with words over their ends, a text has the n-grams that it has as a whole."""
+    rng = random.Random(5)
+    data = ["".join(rng.choice("abcé 1") for _ in range(3000)), "x" * 900 + " " + "ab" * 400, "12 " * 500, "é"]
+    whole = [tuple(map(list, c)) for t in data for c in langid.ngram_counts(pa.array([t]))]
+    monkeypatch.setattr(langid, "STRETCH", 50)
+    assert [tuple(map(list, c)) for t in data for c in langid.ngram_counts(pa.array([t]))] == whole and all(len(h) for h, _ in whole[:2])
+
+
+def test_words_of_a_very_long_text():
+    """Hashes of words do not depend on how a text is cut for them."""
+    from gavelframe.llm import _text
+
+    rng = random.Random(6)
+    raw = np.frombuffer("".join(rng.choice("abc  \n") for _ in range(5000)).encode(), np.uint8)
+    start = np.arange(0, 4990, 10)
+    end = start + 1 + start % 9
+    assert (_text.spans_hashed(raw, start, end, 37) == _text.span_hash(_text.prefix(raw), start, end)).all()
+
+
 def test_langid_edges(spark, docs):
     profiles = langid.fit_profiles(docs)
     odd = spark.createDataFrame([(1, None, 0.5), (2, "", 0.5), (3, "123 !? 漢字 x", 0.5), (4, "12 .", 0.5)], "id int, text string, score double")
