@@ -24,7 +24,8 @@ from gavelframe.llm._text import U64, codepoints, mix, pieces
 
 LONGEST = 5
 MULTIPLIER = 0x9E3779B97F4A7C15
-COUNTED = 1_000_000  # distinct n-grams of texts that a map task holds before it counts them together
+COUNTED = 500_000  # distinct n-grams of texts that a map task holds before it counts them together
+SENT = 1 << 15  # rows of a batch that a map task sends
 STRETCH = 1 << 20  # characters of one text that are counted at once
 _TABLE: np.ndarray | None = None
 
@@ -134,7 +135,9 @@ def fit_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id
         def flush() -> Iterator[pa.RecordBatch]:
             for name, parts in held.items():
                 have, times = counted(*(np.concatenate([p[i] for p in parts]) for i in (0, 1)))
-                yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(have), pa.string()), "code": have.view(np.int64), "n": times})
+                for i in range(0, len(have), SENT):  # small batches, as both sides hold one whole
+                    code = have[i : i + SENT].view(np.int64)
+                    yield pa.RecordBatch.from_pydict({"lang": pa.repeat(pa.scalar(name, pa.string()), len(code)), "code": code, "n": times[i : i + SENT]})
 
         for b in pieces(batches, "text"):
             for name, counts in zip(b["lang"].to_pylist(), ngram_counts(b["text"]), strict=True):

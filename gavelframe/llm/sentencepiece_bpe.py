@@ -34,7 +34,7 @@ MARK = "▁"
 KEPT_UNITS = 700_000  # units whose tokens a task keeps
 KEPT_PAIRS = 4_000_000  # pairs of pieces of which a worker knows whether they stay apart
 LONG = 512  # bytes; longer units are relaxed one position at a time, in stretches
-AT_ONCE = 1 << 18  # bytes of units matched at once
+AT_ONCE = 1 << 17  # bytes of units matched at once
 SLICE = 1 << 18  # bytes of text encoded at once
 
 
@@ -120,6 +120,7 @@ class Bpe:
         # the range of the suffixes that a piece begins: from itself to itself with the greatest bytes behind it
         self.low = np.array(self.sorted_bytes, f"S{self.depth}")
         self.high = np.array([p + b"\xff" * (self.depth - len(p)) for p in self.sorted_bytes], f"S{self.depth}")
+        del self.sorted_bytes
 
     def edges(self, buf: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, end, token) of every occurrence of a piece within a unit; end: of the unit at each byte."""
