@@ -101,11 +101,14 @@ def review_reasons(quality: Column, alnum: Column, tables: Column, structured: C
     return F.array_compact(F.array(*[F.when(t, F.lit(n)) for n, t in tests]))
 
 
-def stable_choice(candidates: DataFrame, page: str, least: int, readable: int) -> DataFrame:
+def stable_choice(candidates: DataFrame, page: str, least: int, readable: int, rank: Column | None = None, upright_rank: Column | None = None) -> DataFrame:
     """Of each page's candidates (id, score, rotation, lexical) the best by score; one that is turned and has fewer than `least` lexical
-    words gives way to the upright one with the most, if that has at least `readable`."""
+    words gives way to the upright one with the most, if that has at least `readable`. Ties go to the greater id, unless rank or
+    upright_rank say otherwise: the greatest of these is taken in place of (score, id) or (lexical, id)."""
     whole = F.struct("id", "rotation", "lexical")
-    best = candidates.groupBy(page).agg(F.max_by(whole, F.struct("score", "id")).alias("b"), F.max_by(whole, F.when((F.col("rotation") == 0) & (F.col("lexical") >= readable), F.struct("lexical", "id"))).alias("u"))
+    rank = F.struct("score", "id") if rank is None else rank
+    upright_rank = F.struct("lexical", "id") if upright_rank is None else upright_rank
+    best = candidates.groupBy(page).agg(F.max_by(whole, rank).alias("b"), F.max_by(whole, F.when((F.col("rotation") == 0) & (F.col("lexical") >= readable), upright_rank)).alias("u"))
     turn = (F.col("b.rotation") != 0) & (F.col("b.lexical") < least) & F.col("u").isNotNull()
     return best.select(page, F.when(turn, F.col("u.id")).otherwise(F.col("b.id")).alias("id"))
 

@@ -107,3 +107,20 @@ def test_readme_lists_the_open_survey_ids():
         for a, b in re.findall(r"(\d\d)(?:-(\d\d))?", numbers):
             listed |= {f"{group}{i:02d}" for i in range(int(a), int(b or a) + 1)}
     assert listed == set(re.findall(r"^\| ([A-Z]{3}\d\d) \|", survey, re.M)) - named
+
+
+def _against_sql(spark, folder, name, table, frame):
+    frame.to_parquet(f"{folder}/{table}.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW {table} AS FROM '{folder}/{table}.parquet'")
+    got, want = QUERIES[name](spark, str(folder)).toPandas(), con.sql(SQL[name]).df()
+    assert sorted(got.columns) == sorted(want.columns) and rows(got) == rows(want)
+    return got
+
+
+def test_stable_choice_of_large_and_missing_keys(spark, tmp_path):
+    """Keys above 100,000 outweigh points of score and words."""
+    few = [(1, 101), (1, 250000), (2, 36), (2, 200020), (2, 200015), (3, None), (3, 7), (4, None), (None, 5), (None, 300001)]
+    keys = few + [(10 + i % 300, i * 7919 % 9_000_000) for i in range(6000)]
+    got = _against_sql(spark, tmp_path, "cls18_stable_choice", "orders", pd.DataFrame(keys, columns=["o_custkey", "o_orderkey"]).astype("Int64"))
+    assert got[got.o_custkey == 1].chosen.tolist() == [250000]
