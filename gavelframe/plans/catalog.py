@@ -113,7 +113,7 @@ def win18_best_per_key(t: Tables) -> DataFrame:
 
 @query("SELECT l_orderkey, l_linenumber, CAST(1 + sum(f) OVER (PARTITION BY l_orderkey ORDER BY l_quantity, l_linenumber ROWS UNBOUNDED PRECEDING) AS BIGINT) AS grp FROM (SELECT *, CASE WHEN l_quantity - lag(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_quantity, l_linenumber) > 5 THEN 1 ELSE 0 END AS f FROM lineitem)")
 def win21_gap_clusters(t: Tables) -> DataFrame:
-    w = Window.partitionBy("l_orderkey").orderBy("l_quantity", "l_linenumber")
+    w = Window.partitionBy("l_orderkey").orderBy(F.asc_nulls_last("l_quantity"), F.asc_nulls_last("l_linenumber"))
     far = F.coalesce((F.col("l_quantity") - F.lag("l_quantity").over(w) > 5).cast("int"), F.lit(0))
     d = t.lineitem.withColumn("f", far)
     return d.select("l_orderkey", "l_linenumber", (F.sum("f").over(w.rowsBetween(Window.unboundedPreceding, 0)) + 1).alias("grp"))

@@ -124,3 +124,27 @@ def test_stable_choice_of_large_and_missing_keys(spark, tmp_path):
     keys = few + [(10 + i % 300, i * 7919 % 9_000_000) for i in range(6000)]
     got = _against_sql(spark, tmp_path, "cls18_stable_choice", "orders", pd.DataFrame(keys, columns=["o_custkey", "o_orderkey"]).astype("Int64"))
     assert got[got.o_custkey == 1].chosen.tolist() == [250000]
+
+
+def test_gap_clusters_of_missing_quantities(spark, tmp_path):
+    """Missing quantities come last, as in SQL, and join the last group."""
+    lines = [(1, 1, None), (1, 2, 3.0), (1, 3, 20.0), (1, 4, None), (2, 1, None), (3, 1, 1.0), (3, None, 9.0), (3, 2, 9.0), (3, 3, 15.0), (None, 1, 1.0), (None, 2, 7.0), (4, 1, float("inf")), (4, 2, 5.0), (4, 3, -4.0)]
+    frame = pd.DataFrame(lines, columns=["l_orderkey", "l_linenumber", "l_quantity"]).astype({"l_orderkey": "Int64", "l_linenumber": "Int32", "l_quantity": "Float64"})
+    got = _against_sql(spark, tmp_path, "win21_gap_clusters", "lineitem", frame)
+    assert sorted(got[got.l_orderkey == 1].grp) == [1, 2, 2, 2]
+
+
+def test_gap_clusters_do_not_hang_on_ties(spark, tmp_path):
+    """Rows equal in order, quantity and line stand in one group, however they are dealt and sorted; one sort serves both windows."""
+    from pyspark.sql import functions as F
+
+    lines = spark.range(2000).selectExpr("id % 40 AS l_orderkey", "CAST(id % 3 AS int) AS l_linenumber", "CAST(id * 7919 % 50 AS double) AS l_quantity").unionAll(spark.range(1000).selectExpr("100L", "1", "CAST(CASE WHEN id < 500 THEN 1 ELSE 40 END AS double)"))
+    for n, seed in ((1, 1), (7, 2), (13, 3)):
+        lines.orderBy(F.rand(seed)).repartition(n).write.parquet(f"{tmp_path}/{n}/lineitem.parquet")
+        df = QUERIES["win21_gap_clusters"](spark, f"{tmp_path}/{n}")
+        got = df.toPandas()
+        assert sorted(got[got.l_orderkey == 100].grp) == [1] * 500 + [2] * 500
+        assert df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Sort [") == 1
+        if n > 1:
+            assert rows(got) == first
+        first = rows(got)
